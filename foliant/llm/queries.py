@@ -6,26 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import exact, packing
+from foliant.llm import exact, langid, near, packing, quality, toxicity, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages' urls by path rules and a model of hashed n-grams."""
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), urls.train(spark))
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by HyperMinHash banding and verification."""
+    return near.near_groups(_documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents by a heavy-hitter split."""
     return exact.exact_groups(_documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out fold."""
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by weakly supervised rules."""
+    return quality.judge(_documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack(_documents(spark, sf_dir))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned outside the held-out fold."""
+    docs = _documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_exact_dedup, op8_packing)
+    for f in (op1_url_filters, op2_minhash, op3_exact_dedup, op6_toxicity, op7_quality, op8_packing, op9_language)
 }
 
 ORACLES: dict[str, str] = {
