@@ -1,32 +1,52 @@
-"""The corpus pipeline: toxicity, exact dedup, near dedup, mixing, packing."""
+"""The corpus pipeline: toxicity, exact dedup, near dedup, mixing of sources, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import exact, packing
+from foliant.llm import exact, mixing, near, packing, toxicity
+from foliant.llm.common import staged
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go. The model is learned from the labels and the documents of this stage's input."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact.without_copies(docs)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return near.without_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the temperature mixture has them: small sources repeat, large ones are cut to their budget."""
+    return mixing.mixed(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences of at most 2048 tokens."""
     return packing.pack(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: No SQL: the stages learn models, hash sketches and tokenise.
+#: No SQL: the stages learn a model, sketch with hashes and tokenise.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
-    from foliant.llm.common import staged
-
+    """All stages over documents, each but the last written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -50,8 +50,8 @@ class Model:
     """Per-language log frequencies, as one float row per word and per n-gram."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    ngrams: list[dict[str, np.ndarray]] = field(default_factory=list)
+    words: dict[str, list[float]]
+    ngrams: list[dict[str, list[float]]] = field(default_factory=list)
 
     @classmethod
     def fit(cls, counts: list[tuple[str, str, int]]) -> Model:
@@ -75,16 +75,16 @@ class Model:
         return cls(langs, cls.logs(by_word), [cls.logs({g: v for g, v in level.items() if v.sum() > 1}) for level in by_gram])
 
     @staticmethod
-    def logs(table: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def logs(table: dict[str, np.ndarray]) -> dict[str, list[float]]:
         """log P(item | lang), centred over the languages so that scores of different items can be added."""
         if not table:
             return {}
         m = np.array(list(table.values())) + 0.5
         m = np.log(m / m.sum(axis=0))
         m -= m.mean(axis=1, keepdims=True)
-        return dict(zip(table, m.astype(np.float32), strict=True))
+        return dict(zip(table, m.tolist(), strict=True))
 
-    def score(self, word: str) -> np.ndarray | None:
+    def score(self, word: str) -> list[float] | None:
         """A row over the languages; None if the word has no letter."""
         word = core(word)
         if not word:
@@ -92,11 +92,14 @@ class Model:
         known = self.words.get(word)
         if known is not None:
             return known
+        marked = f"^{word}$"
         for size in range(LONGEST, 0, -1):
-            found = [v for g in grams(word, size) if (v := self.ngrams[size].get(g)) is not None]
+            known_grams = self.ngrams[size]
+            found = [v for i in range(len(marked) - size + 1) if (v := known_grams.get(marked[i : i + size])) is not None]
             if found:
-                return BACKOFF * np.mean(found, axis=0)
-        return np.zeros(len(self.langs), np.float32)
+                scale = BACKOFF / len(found)
+                return [scale * sum(column) for column in zip(*found, strict=True)]
+        return [0.0] * len(self.langs)
 
 
 class Scorer:
@@ -104,7 +107,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, scorer = model, self
-        self.rows: list[np.ndarray] = []
+        self.rows: list[list[float]] = []
 
         class Ids(dict):
             def __missing__(self, word: str) -> int:

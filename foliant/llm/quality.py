@@ -23,7 +23,7 @@ MIN_WORDS = 50
 ROUNDS = 40
 KEEP = 0.5
 #: Most that a rule may be taken to reject good documents, and least that it finds documents bad in its own way.
-FALSE_ALARM, DETECTS = 0.05, 0.7
+FALSE_ALARM, DETECTS = 0.01, 0.7
 
 
 def occurrences(text: Column, characters: str) -> Column:

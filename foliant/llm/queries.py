@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import exact, langid, near, packing, quality, toxicity, urls
+from foliant.llm import exact, langid, mixing, near, packing, quality, substrings, toxicity, urls, wordpiece
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_documents(spark, sf_dir))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The temperature mixture of all documents' sources, within a budget of as many tokens as there are."""
+    return mixing.mixture(_documents(spark, sf_dir))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of all documents."""
+    return wordpiece.token_counts(_documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels outside the held-out fold."""
     docs = _documents(spark, sf_dir)
@@ -50,9 +60,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes and more that repeat across all documents, removed."""
+    return substrings.remove_repeats(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_minhash, op3_exact_dedup, op6_toxicity, op7_quality, op8_packing, op9_language)
+    for f in (op1_url_filters, op2_minhash, op3_exact_dedup, op4_mixing, op5_token_counts, op6_toxicity, op7_quality, op8_packing, op9_language, op10_suffix_array)
 }
 
 ORACLES: dict[str, str] = {

@@ -66,6 +66,23 @@ class Trie:
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = (term, weight)
+        self.gates = self._gates()
+
+    def _gates(self) -> dict[int, list[tuple[int, int, frozenset[str]]]]:
+        """Per word length, substrings (from, to, set) one of which any misspelling within edits() has unchanged.
+
+        A term cut into one part more than its edits keeps a part, shifted by no more than the edits; words without one
+        need no automaton.
+        """
+        found: dict[int, dict[tuple[int, int], set[str]]] = {}
+        for term in self.terms:
+            k = edits(len(term))
+            cuts = [len(term) * i // (k + 1) for i in range(k + 2)]
+            for a, b in zip(cuts, cuts[1:], strict=False) if k else ():
+                for length in range(len(term) - k, len(term) + k + 1):
+                    for start in range(max(0, a - k), min(length - (b - a), a + k) + 1):
+                        found.setdefault(length, {}).setdefault((start, start + b - a), set()).add(term[a:b])
+        return {length: [(a, b, frozenset(parts)) for (a, b), parts in by.items()] for length, by in found.items()}
 
     def nearest(self, word: str) -> tuple[str, float, int] | None:
         """(term, weight, distance) of the term nearest to word within edits(len(term)); ties by weight, then by name.
@@ -76,7 +93,10 @@ class Trie:
         if word in self.terms:
             return word, self.terms[word], 0
         top = edits(len(word) + 2)
-        if not top:
+        for a, b, parts in self.gates.get(len(word), ()) if top else ():
+            if word[a:b] in parts:
+                break
+        else:
             return None
         n = len(word)
         masks: dict[str, int] = {}

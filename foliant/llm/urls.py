@@ -1,20 +1,24 @@
 """URL filters: path rules, then logistic regression on hashed character n-grams (operator 1), in DataFrame functions.
 
-The model is trained from a small table of labelled urls by gradient descent written as aggregations over
-(url, feature) rows; its weights are an array of DIMENSIONS numbers, whatever the number of pages.
+The model is trained from a small table of labelled urls; its weights are an array literal of DIMENSIONS numbers,
+whatever the number of pages.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = 2048
 #: Lengths of the character n-grams.
 SIZES = (3, 4)
-ROUNDS = 30
+ROUNDS = 120
 RATE = 8.0
 RIDGE = 0.002
+#: The labelled table is small: it is trained on at the driver.
+MOST_LABELLED = 10_000
 #: A url is blocked from this probability on.
 BLOCK_AT = 0.5
 
@@ -93,32 +97,35 @@ def grams(host: Column, path: Column) -> Column:
 
 
 def train(spark: SparkSession, labelled: DataFrame | None = None) -> list[float]:
-    """Bias and DIMENSIONS weights from labelled urls (url, block); null urls count as empty, null labels are left out.
+    """Bias and DIMENSIONS weights from at most MOST_LABELLED labelled urls (url, block).
 
-    Batch gradient descent; each round is one aggregation that returns at most DIMENSIONS + 1 numbers. Every url's
-    features are scaled to unit length.
+    Null urls count as empty, null labels are left out; more rows than the bound are an error. Batch gradient descent
+    over the feature numbers, every url's features scaled to unit length.
     """
     if labelled is None:
         labelled = spark.createDataFrame(LABELLED, "url string, block int")
-    x = labelled.where(F.col("block").isNotNull()).select(F.monotonically_increasing_id().alias("id"), F.col("block").cast("double").alias("y"), grams(F.coalesce(host_of(F.col("url")), F.lit("")), F.coalesce(path_of(F.col("url")), F.lit(""))).alias("g")).coalesce(1).persist()
-    n = max(1, x.count())
+    u = F.col("url")
+    x = labelled.where(F.col("block").isNotNull()).select(F.col("block").cast("double").alias("y"), grams(F.coalesce(host_of(u), F.lit("")), F.coalesce(path_of(u), F.lit(""))).alias("g"))
+    rows = sorted((r["y"], tuple(r["g"])) for r in x.limit(MOST_LABELLED + 1).collect())
+    if len(rows) > MOST_LABELLED:
+        raise ValueError(f"more than {MOST_LABELLED} labelled urls")
     weights = [0.0] * (DIMENSIONS + 1)
-    try:
-        for _ in range(ROUNDS):
-            error = x.select("g", ((probability(F.col("g"), weights) - F.col("y")) / n).alias("e"))
-            steps = error.select(F.explode(F.concat(F.array(F.lit(0)), F.col("g"))).alias("f"), F.when(F.size("g") > 0, F.col("e") / F.sqrt(F.size("g").cast("double"))).otherwise(0.0).alias("d"), "e")
-            got = steps.groupBy("f").agg(F.sum(F.when(F.col("f") == 0, F.col("e")).otherwise(F.col("d"))).alias("d")).collect()
-            weights = [w * (1 - RATE * RIDGE) if k else w for k, w in enumerate(weights)]
-            for r in got:
-                weights[r["f"]] -= RATE * r["d"] * (1 if r["f"] else 0.1)
-    finally:
-        x.unpersist()
+    for _ in range(ROUNDS if rows else 0):
+        steps = [0.0] * (DIMENSIONS + 1)
+        for y, found in rows:
+            scale = len(found) ** -0.5 if found else 0.0
+            z = weights[0] + scale * sum(weights[f] for f in found)
+            error = (1 / (1 + math.exp(-z)) - y) / len(rows)
+            steps[0] += 0.1 * error
+            for f in found:
+                steps[f] += scale * error
+        weights = [w - RATE * (d + (RIDGE * w if k else 0.0)) for k, (w, d) in enumerate(zip(weights, steps, strict=True))]
     return weights
 
 
 def probability(found: Column, weights: list[float]) -> Column:
     """P(block) of a url by its feature numbers."""
-    table = F.lit(weights[1:])
+    table = F.split(F.lit(",".join(map(repr, weights[1:]))), ",").cast("array<double>")  # folded to one literal
     total = F.aggregate(found, F.lit(0.0), lambda a, f: a + F.element_at(table, f))
     z = F.lit(weights[0]) + F.when(F.size(found) > 0, total / F.sqrt(F.size(found).cast("double"))).otherwise(0.0)
     return 1 / (1 + F.exp(-z))
