@@ -95,7 +95,7 @@ def rules() -> dict[str, Column]:
     return {
         "symbols": _vote(c("n_symbols") * 100 > c("word_chars") * 5, c("n_symbols") * 100 < c("word_chars")),
         "upper": _vote(c("n_upper") * 100 > c("word_chars") * 40, c("n_upper") * 100 < c("word_chars") * 15),
-        "dup_lines": _vote(c("n_dup_lines") * 100 > (c("n_breaks") + 1) * 30, c("n_dup_lines") == 0),
+        "dup_lines": _vote(c("n_dup_lines") * 2 > c("n_breaks") + 1, c("n_dup_lines") == 0),
         "repeats": _vote(c("n_repeat_words") * 100 > c("n_words") * 30, c("n_repeat_words") * 100 < c("n_words") * 10),
         "word_length": _vote((c("word_chars") < c("n_words") * 2) | (c("word_chars") > c("n_words") * 13), (c("word_chars") >= c("n_words") * 3) & (c("word_chars") <= c("n_words") * 10)),
         "sentences": _vote((c("n_stops") * 150 < c("n_words")) | (c("n_stops") * 2 > c("n_words")), (c("n_stops") * 50 > c("n_words")) & (c("n_stops") * 3 < c("n_words"))),
@@ -104,46 +104,40 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[list[float], list[list[list[float]]]]:
-    """EM over (votes, number of documents): shares of the classes and, per class and rule, P(vote | class).
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[list[float], list[list[float]]]:
+    """EM over (votes, number of documents): shares of the classes and, per class and rule, P(bad vote | class, it votes).
 
     Class 0 is good; class 1 + r is bad in the way that rule r looks for, since bad documents of one kind pass the rules
-    for another. Counts are smoothed by one document per vote. What a vote means is held: a good document gets a bad
-    vote from a rule at most FALSE_ALARM of the time, and class 1 + r gets one from rule r at least DETECTS of it.
+    for another. Abstaining says nothing. Counts are smoothed by one document per vote. What a vote means is held: a good
+    document gets a bad vote from a rule at most FALSE_ALARM of the time, class 1 + r one from rule r at least DETECTS.
     """
     n = len(patterns[0][0]) if patterns else 0
     shares = [1 - 0.02 * n] + [0.02] * n
-    table = [[[0.01, 0.8, 0.19] for _ in range(n)] for _ in range(n + 1)]
+    table = [[0.01] * n for _ in range(n + 1)]
     for r in range(n):
-        table[1 + r][r] = [0.9, 0.05, 0.05]
+        table[1 + r][r] = 0.9
     for _ in range(rounds if patterns else 0):
         mass = [1.0] * (n + 1)
-        sums = [[[1.0] * 3 for _ in range(n)] for _ in range(n + 1)]
+        bad, cast = ([[x] * n for _ in range(n + 1)] for x in (1.0, 2.0))
         for votes, count in patterns:
             for k, p in enumerate(posteriors(votes, shares, table)):
                 mass[k] += p * count
                 for r, v in enumerate(votes):
-                    sums[k][r][v] += p * count
+                    if v != 2:
+                        cast[k][r] += p * count
+                        bad[k][r] += p * count * (1 - v)
         shares = [m / sum(mass) for m in mass]
-        table = [[[x / sum(rule) for x in rule] for rule in by_rule] for by_rule in sums]
+        table = [[x / y for x, y in zip(*row, strict=True)] for row in zip(bad, cast, strict=True)]
         for r in range(n):
-            table[0][r] = _held(table[0][r], min(FALSE_ALARM, table[0][r][0]))
-            table[1 + r][r] = _held(table[1 + r][r], max(DETECTS, table[1 + r][r][0]))
+            table[0][r] = min(FALSE_ALARM, table[0][r])
+            table[1 + r][r] = max(DETECTS, table[1 + r][r])
     return shares, table
 
 
-def _held(votes: list[float], bad: float) -> list[float]:
-    """The distribution with its share of bad votes set, the others in proportion."""
-    rest = votes[1] + votes[2]
-    return [bad, votes[1] / rest * (1 - bad), votes[2] / rest * (1 - bad)]
-
-
-def posteriors(votes: tuple[int, ...], shares: list[float], table: list[list[list[float]]]) -> list[float]:
+def posteriors(votes: tuple[int, ...], shares: list[float], table: list[list[float]]) -> list[float]:
     """Probabilities of the classes, given votes."""
-    logs = [math.log(s) + sum(math.log(by_rule[r][v]) for r, v in enumerate(votes)) for s, by_rule in zip(shares, table, strict=True)]
-    top = max(logs)
-    e = [math.exp(x - top) for x in logs]
-    return [x / sum(e) for x in e]
+    like = [s * math.prod(b if v == 0 else 1 - b if v == 1 else 1.0 for v, b in zip(votes, by_rule, strict=True)) for s, by_rule in zip(shares, table, strict=True)]
+    return [x / sum(like) for x in like]
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -157,12 +151,12 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     counted = staged(features(docs, key, text).withColumns(rules()))
     patterns = [(tuple(r[n] for n in names), r["count"]) for r in counted.groupBy(names).count().collect()]
     shares, table = estimate(sorted(patterns))
-    # The classes' likelihoods as products of looked-up numbers; their quotient needs no logarithm.
+    # The classes' likelihoods as products over the rules that vote.
     like = []
     for share, by_rule in zip(shares, table, strict=True):
         one = F.lit(share)
-        for name, votes in zip(names, by_rule, strict=False):
-            one = one * F.element_at(F.lit(votes), F.col(name) + 1)
+        for name, bad in zip(names, by_rule, strict=False):
+            one = one * F.when(F.col(name) == 0, bad).when(F.col(name) == 1, 1 - bad).otherwise(1.0)
         like.append(one)
     total = like[0]
     for one in like[1:]:
