@@ -10,8 +10,9 @@ Buckets take their minima under hash functions of their own rather than from a p
 would leave most buckets of a partition empty, and a band of empty buckets says nothing.
 
 Candidates within a bucket of a band are the pairs with its smallest member, then, over documents that are not yet
-in one component, the pairs of blocks of a bucket's members. So a bucket of near copies costs a row per member, and
-nothing is dropped where a bucket holds different texts.
+in one component, the pairs of a bucket's members, which are compared block by block inside a task and come out as
+links only. So a bucket of near copies costs a row per member, and nothing is dropped where a bucket holds texts that
+are alike but no links.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ MANTISSA = 10
 #: Estimated similarity below which a candidate pair isn't verified: five standard errors under 0.8 for 128 registers.
 ESTIMATE = 0.62
 #: Members of a bucket that one block holds.
-BLOCK = 256
+BLOCK = 512
 MEMO = 300_000
 #: Shingles hashed at once, so that the products stay in the cache.
 CHUNK = 256
@@ -219,37 +220,86 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def open_pairs(buckets: DataFrame, part: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket, in different components so far, that are estimated to be similar.
+def _facing(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Of one pair of blocks of a bucket: (i, others) for the rows that are to be compared here.
+
+    Two members are compared if they lie in different components so far, if their sizes and sketches allow a link, and in
+    the first band only that they share, so each pair comes up once over all buckets.
+    """
+    rows = np.frombuffer(b"".join(group["sketch"].to_pylist()), "<u2").reshape(-1, REGISTERS)
+    component, n, block = (group[c].to_numpy() for c in ("component", "n", "block"))
+    keys = np.array([band_keys(r) for r in rows])
+    here = int(np.argmax(keys[0] == group["band"][0].as_py()))
+    x, y = group["x"][0].as_py(), group["y"][0].as_py()
+    left = np.flatnonzero(block == x)
+    right = np.flatnonzero(block == y)
+    for i in left:
+        hit = right[(component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * PERCENT)]
+        if x == y:
+            hit = hit[hit > i]
+        hit = hit[(keys[hit] == keys[i]).argmax(axis=1) == here]
+        if len(hit):
+            hit = hit[estimate(rows[hit], rows[i], n[hit], n[i]) >= ESTIMATE]
+        if len(hit):
+            yield i, hit
+
+
+_OPEN = "band long, x int, y int, block int, id long, component long, n long, sketch binary"
+
+
+def open_members(buckets: DataFrame, part: DataFrame, classes: DataFrame) -> DataFrame:
+    """(_OPEN) members of buckets of several components that may have a link to another component in their bucket.
 
     A bucket's members are dealt into blocks of about BLOCK by a hash of the id, and each pair of blocks is one group,
-    compared as matrices of registers. Only buckets with more than one component come here.
+    compared as matrices of registers. What comes out are members, never pairs.
     """
     members = buckets.join(part.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     spread = members.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     held = members.join(spread, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # Block i meets every block j: as the left side for j >= i and as the right side for j <= i.
     dealt = held.select("band", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "block")
-    dealt = dealt.join(classes.select("id", "n", "sketch"), "id")
+    dealt = dealt.select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component")
+    dealt = dealt.join(classes.select("id", "n", "sketch"), "id").select(*(c.split()[0] for c in _OPEN.split(", ")))
 
     def run(group: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(group["sketch"].to_pylist()), "<u2").reshape(-1, REGISTERS)
-        ids, component, n, block = (group[c].to_numpy() for c in ("id", "component", "n", "block"))
-        x = group["x"][0].as_py()
-        left = np.flatnonzero(block == x)
-        right = np.flatnonzero(block != x) if (block != x).any() or group["x"][0].as_py() != group["y"][0].as_py() else left
-        found_a, found_b = [], []
-        for i in left:
-            hit = right[(component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * PERCENT)]
-            if len(hit):
-                hit = hit[estimate(rows[hit], rows[i], n[hit], n[i]) >= ESTIMATE]
-                found_a.append(np.maximum(ids[hit], ids[i]))
-                found_b.append(np.minimum(ids[hit], ids[i]))
-        a, b = (np.concatenate(f) if f else np.empty(0, np.int64) for f in (found_a, found_b))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return dealt.groupBy("band", "x", "y").applyInArrow(run, "a long, b long").distinct()
+        wanted = np.zeros(group.num_rows, bool)
+        for i, hit in _facing(group):
+            wanted[i] = True
+            wanted[hit] = True
+        return group.filter(pa.array(wanted))
+
+    return dealt.groupBy("band", "x", "y").applyInArrow(run, _OPEN)
+
+
+def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) among open_members, on whole shingle sets: of each pair of blocks, as many as join its components."""
+    both = members.join(texts, "id").select(*(c.split()[0] for c in _OPEN.split(", ")), "text")
+
+    def run(group: pa.Table) -> pa.Table:
+        hashes, sets = WordHash(), {}
+        ids, component = group["id"].to_pylist(), group["component"].to_pylist()
+        root = {c: c for c in component}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(group["text"][i].as_py(), hashes)
+            return sets[i]
+
+        found = []
+        for i, hit in _facing(group):
+            for j in map(int, hit):
+                if find(component[i]) != find(component[j]) and linked(of(i), of(j)):
+                    root[find(component[i])] = find(component[j])
+                    found.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
+
+    return both.groupBy("band", "x", "y").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -285,9 +335,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     stars = buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     links = verify(likely(stars, classes))
     part = staged(components(links))
-    tried = stars
-    rest = open_pairs(buckets.select("band", "id"), part, classes).join(tried, ["a", "b"], "left_anti")
-    more = verify(rest)
+    members = staged(open_members(buckets.select("band", "id"), part, classes))
+    wanted = members.select("id").distinct()
+    more = staged(open_links(members, texts.join(wanted, "id", "left_semi").dropDuplicates(["id"])))
     if not more.isEmpty():
         part = staged(components(links.unionByName(more)))
     headed = part.select(F.col("node").alias("head"), "component")
