@@ -17,7 +17,7 @@ import tempfile
 import numpy as np
 
 #: Tuples read from a queue at once, and tuples that all queues keep in memory before they write to disk.
-CHUNK, RESIDENT = 1 << 16, 1 << 22
+CHUNK, RESIDENT = 1 << 16, 1 << 21
 _TUPLE = np.dtype([("at", "<u4"), ("lcp", "u1")])
 
 
@@ -167,7 +167,7 @@ def suffix_order(text: np.ndarray, depth: int, resident: int = RESIDENT):
     rising = np.r_[t[starts[1:]] > t[starts[:-1]], True]
     s_type = np.repeat(rising, lengths)[: n + 1]
     s_type[n] = True
-    run_end = np.repeat(starts + lengths, lengths)[: n + 1]
+    run_end = np.repeat((starts + lengths).astype(np.uint32), lengths)[: n + 1]
     star = np.flatnonzero(s_type[1:n] & ~s_type[: n - 1]) + 1
     if len(star):
         star, star_lcp = sort_starts(text, star, depth)

@@ -2,12 +2,12 @@
 
 Every byte that lies in a LENGTH-byte string which also starts in a document of smaller id is removed. Suffix arrays
 of whole corpora don't fit a task, so the corpus is cut by content. Each LENGTH-byte window has an anchor, the least
-hash among its GRAM-byte substrings; equal windows have equal anchors, wherever they stand. Runs of windows with one
-anchor are segments.
+hash among its substrings of a fixed length; equal windows have equal anchors, wherever they stand. Runs of windows
+with one anchor are segments.
 
 1. Rows of equal texts: all but the smallest id are covered whole and go no further.
 2. Anchors, as packed arrays, meet in shards; those of one document only are dropped, with most of the corpus.
-3. Segments of shared anchors are cut from the texts. Equal segments within a task are decided there, so one of each
+3. Windows of shared anchors are cut from the texts, as segments by a coarser anchor. Equal segments within a task are decided there, so one of each
    kind goes on: a passage that a third of all documents share costs one segment per task.
 4. Each shard of segments is sorted by external induction (foliant.llm.induced). Runs of suffixes that share LENGTH
    bytes are classes of equal windows; all but those of the class's smallest id are covered.
@@ -28,63 +28,75 @@ from foliant.llm.common import discard, staged, text_bytes
 from foliant.llm.induced import suffix_order
 from foliant.session import ship_package
 
-LENGTH, GRAM = 50, 16
-SPAN = LENGTH - GRAM + 1
+LENGTH = 50
+#: Bytes of the substrings that tell shared windows (long: few are shared by chance) and that deal windows to shards
+#: (short: more windows in a row have one).
+TELLS, DEALS = 24, 12
 #: Bytes of text whose anchors one packed row set holds, and bytes of segments held before they are sent.
 FLUSH = 16 << 20
 #: Anchors and segment bytes that a shard should have.
-SHARD_ANCHORS, SHARD_BYTES = 1_000_000, 12 << 20
+SHARD_ANCHORS, SHARD_BYTES = 1_000_000, 6 << 20
 #: Ids that may be broadcast, by count.
 BROADCAST_ROWS = 1_000_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
-_LOW = (1 << 48) - 1
+#: Bits of an anchor that are kept besides its shard.
+_BITS = 40
 
 
-def gram_hashes(text: bytes) -> np.ndarray:
-    """Hashes of all GRAM-byte substrings."""
-    n = len(text) - GRAM + 1
+def gram_hashes(text: bytes, gram: int) -> np.ndarray:
+    """Hashes of all substrings of gram bytes, a multiple of 4 from 8 on."""
+    n = len(text) - gram + 1
     words = np.ndarray((len(text) - 7,), "<u8", text, strides=(1,))
     h = words[:n] * _A
-    h ^= h >> np.uint64(29)
-    h += words[8 : 8 + n]
-    h *= _B
+    for at in [*range(8, gram - 7, 8), *([gram - 8] if gram % 8 else [])]:
+        h ^= h >> np.uint64(29)
+        h += words[at : at + n]
+        h *= _B
     h ^= h >> np.uint64(32)
     h *= _C
     h ^= h >> np.uint64(29)
     return h
 
 
-def segments(text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, anchor) of the segments of joined texts that end at ends."""
-    n = len(text) - LENGTH + 1
-    none = np.empty(0, np.int64)
-    if n <= 0:
-        return none, none, none.astype(np.uint64)
-    m, width = gram_hashes(text), 1
-    while width * 2 <= SPAN:
+def anchors(text: bytes, gram: int) -> np.ndarray:
+    """For each window of LENGTH bytes the least hash among its substrings of gram bytes."""
+    n, span = len(text) - LENGTH + 1, LENGTH - gram + 1
+    m, width = gram_hashes(text, gram), 1
+    while width * 2 <= span:
         m = np.minimum(m[:-width], m[width:])
         width *= 2
-    m = np.minimum(m[: n], m[SPAN - width : SPAN - width + n]) if width < SPAN else m[:n]
-    inside = np.ones(n, bool)
-    # Windows that start in the last LENGTH - 1 bytes of a text reach beyond it.
+    return np.minimum(m[:n], m[span - width : span - width + n])
+
+
+def within(n: int, ends: np.ndarray) -> np.ndarray:
+    """Which of the first n windows of joined texts, that end at ends, lie within a text."""
     mark = np.zeros(n + 1, np.int32)
-    np.add.at(mark, np.clip(ends - LENGTH + 1, np.r_[0, ends[:-1]], None).clip(0, n), 1)
+    np.add.at(mark, np.maximum(ends - LENGTH + 1, np.r_[0, ends[:-1]]).clip(0, n), 1)
     np.add.at(mark, ends.clip(0, n), -1)
-    inside &= np.cumsum(mark[:n]) == 0
+    return np.cumsum(mark[:n]) == 0
+
+
+def runs(m: np.ndarray, valid: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, number) of the runs of valid windows with equal anchors, none across texts."""
+    n = len(m)
     new = np.empty(n, bool)
     new[0] = True
     np.not_equal(m[1:], m[:-1], out=new[1:])
-    new[1:] |= ~inside[:-1]
-    new[ends[:-1][ends[:-1] < n]] = True
-    first = np.flatnonzero(new & inside)
-    stop = np.flatnonzero(np.r_[new | ~inside, True])
-    count = stop[np.searchsorted(stop, first, "right")] - first
-    return first, count, m[first]
+    new[1:] |= ~valid[:-1]
+    new[ends[ends < n]] = True
+    first = np.flatnonzero(new & valid)
+    stop = np.flatnonzero(np.r_[new | ~valid, True])
+    return first, stop[np.searchsorted(stop, first, "right")] - first
+
+
+def keyed(anchor: np.ndarray, shards: int) -> np.ndarray:
+    """Anchors cut to their shard and _BITS more."""
+    return ((anchor >> np.uint64(_BITS)) % np.uint64(shards) << np.uint64(_BITS)) | (anchor & np.uint64((1 << _BITS) - 1))
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """(ids, texts) of about FLUSH bytes."""
+    """(ids, texts) of about FLUSH bytes; texts shorter than LENGTH are left out."""
     ids, texts, size = [], [], 0
     for batch in batches:
         for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -101,73 +113,80 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, li
         yield np.array(ids, np.int64), texts
 
 
-def _anchors(ids: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(document id, first window in its text, windows, anchor) of a batch's segments, worked on about 1 MB at a time."""
-    out, i = [], 0
+def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of texts of about 1 MB, whose arrays stay in the cache."""
+    i = 0
     while i < len(texts):
         j, size = i, 0
         while j < len(texts) and (j == i or size + len(texts[j]) <= 1 << 20):
             size += len(texts[j])
             j += 1
-        ends = np.cumsum([len(t) for t in texts[i:j]])
-        first, count, anchor = segments(b"".join(texts[i:j]), ends)
-        own = np.searchsorted(ends, first, "right")
-        out.append((ids[i:j][own], first - np.r_[0, ends][own], count, anchor))
+        yield i, j
         i = j
+
+
+def _document_keys(ids: np.ndarray, texts: list[bytes], shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(id, key) of the distinct anchors of each text."""
+    out = []
+    for i, j in _groups(texts):
+        ends = np.cumsum([len(t) for t in texts[i:j]])
+        m = anchors(b"".join(texts[i:j]), TELLS)
+        first, _ = runs(m, within(len(m), ends), ends)
+        own, key = np.searchsorted(ends, first, "right"), keyed(m[first], shards)
+        order = np.lexsort((key, own))
+        own, key = own[order], key[order]
+        fresh = np.r_[True, (own[1:] != own[:-1]) | (key[1:] != key[:-1])] if len(own) else np.empty(0, bool)
+        out.append((ids[i:j][own[fresh]], key[fresh]))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _shared_here(owner: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order by anchor, mask in that order) of the anchors that two documents have."""
-    order = np.argsort(anchor, kind="stable")
-    a, o = anchor[order], owner[order]
-    begin = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.empty(0, np.int64)
-    several = np.minimum.reduceat(o, begin) != np.maximum.reduceat(o, begin) if len(a) else np.empty(0, bool)
-    return order, np.repeat(several, np.diff(np.r_[begin, len(a)]))
+def _shared_here(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by key, mask in that order of keys that two documents have, of each key's first row)."""
+    order = np.argsort(key, kind="stable")
+    k, o = key[order], owner[order]
+    lead = np.r_[True, k[1:] != k[:-1]] if len(k) else np.empty(0, bool)
+    begin = np.flatnonzero(lead)
+    several = np.minimum.reduceat(o, begin) != np.maximum.reduceat(o, begin) if len(k) else np.empty(0, bool)
+    return order, np.repeat(several, np.diff(np.r_[begin, len(k)])), lead
 
 
-_PLACES = "id long, first int, windows int, anchor long"
-_PACKED = "shard int, ids binary, first binary, windows binary, low binary, several binary"
+_PLACES = "id long, key long"
+_PACKED = "shard int, ids binary, low binary, several binary"
 
 
-def _places(columns: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-    """Rows of _PLACES."""
-    ids, first, windows, anchor = columns
-    for i in range(0, len(ids), 50_000):
-        s = slice(i, i + 50_000)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[s]), pa.array(first[s].astype(np.int32)), pa.array(windows[s].astype(np.int32)), pa.array(anchor[s].view(np.int64))], ["id", "first", "windows", "anchor"])
+def keys_shared_here(shards: int):
+    """Rows of _PLACES for anchors that two documents of the same FLUSH bytes have."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _batches(batches):
+            own, key = _document_keys(ids, texts, shards)
+            order, mask, _ = _shared_here(own, key)
+            at = order[mask]
+            for i in range(0, len(at), 50_000):
+                part = at[i : i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(own[part]), pa.array(key[part].view(np.int64))], ["id", "key"])
 
-def places_shared_here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments whose anchor two documents of the same batch have."""
-    for ids, texts in _batches(batches):
-        own, first, count, anchor = _anchors(ids, texts)
-        order, mask = _shared_here(own, anchor)
-        at = order[mask]
-        yield from _places((own[at], first[at], count[at], anchor[at]))
+    return run
 
 
 def packed_anchors(shards: int):
-    """Packed rows per shard: all segments whose anchor only one document of the batch has, and of each other anchor one."""
+    """Packed rows per shard: all anchors that only one document of the batch has, and one of each other anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _batches(batches):
-            own, first, count, anchor = _anchors(ids, texts)
-            order, mask = _shared_here(own, anchor)
-            a = anchor[order]
-            lead = np.r_[True, a[1:] != a[:-1]] if len(a) else mask
-            keep = np.sort(order[~mask | lead])
-            several = np.zeros(len(anchor), bool)
-            several[order[mask]] = True
-            own, first, count, anchor, several = (x[keep] for x in (own, first, count, anchor, several))
-            shard = ((anchor >> np.uint64(48)) % np.uint64(shards)).astype(np.int64)
-            by = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[by], np.arange(shards + 1))
-            low = (anchor & np.uint64(_LOW)).view(np.uint8).reshape(-1, 8)[:, :6]
+            own, key = _document_keys(ids, texts, shards)
+            order, mask, lead = _shared_here(own, key)
+            several = mask[~mask | lead]
+            keep = order[~mask | lead]  # by key, so by shard
+            shard = (key[keep] >> np.uint64(_BITS)).astype(np.int64)
+            bounds = np.searchsorted(shard, np.arange(shards + 1))
+            low = key[keep].view(np.uint8).reshape(-1, 8)[:, : _BITS // 8]
             rows = []
             for k in np.flatnonzero(np.diff(bounds)):
-                at = by[bounds[k] : bounds[k + 1]]
-                rows.append((int(k), own[at].tobytes(), first[at].astype("<u4").tobytes(), count[at].astype("<u4").tobytes(), low[at].tobytes(), several[at].tobytes()))
+                at = slice(bounds[k], bounds[k + 1])
+                # In the order of ids, these compress well, and the anchors don't in any order.
+                by = np.argsort(own[keep[at]], kind="stable")
+                rows.append((int(k), own[keep[at]][by].tobytes(), low[at][by].tobytes(), several[at][by].tobytes()))
             for i in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if j == 0 else pa.binary()) for j, c in enumerate(zip(*rows[i : i + 64], strict=True))], [c.split()[0] for c in _PACKED.split(", ")])
 
@@ -178,35 +197,62 @@ def _joined(column: pa.ChunkedArray) -> bytes:
     return b"".join(column.to_pylist())
 
 
-def places_shared_between(group: pa.Table) -> pa.Table:
-    """Of one shard of packed anchors: the segments whose anchor is in two documents, without those found within a batch."""
+def keys_shared_between(group: pa.Table) -> pa.Table:
+    """Of one shard of packed anchors: those of two documents, without the rows found by keys_shared_here."""
     ids = np.frombuffer(_joined(group["ids"]), np.int64)
-    first, windows = (np.frombuffer(_joined(group[c]), "<u4").astype(np.int32) for c in ("first", "windows"))
-    anchor = np.zeros((len(ids), 8), np.uint8)
-    anchor[:, :6] = np.frombuffer(_joined(group["low"]), np.uint8).reshape(-1, 6)
-    anchor = anchor.view("<u8").ravel()
+    low = np.zeros((len(ids), 8), np.uint8)
+    low[:, : _BITS // 8] = np.frombuffer(_joined(group["low"]), np.uint8).reshape(-1, _BITS // 8)
+    key = low.view("<u8").ravel()
     several = np.frombuffer(_joined(group["several"]), bool)
-    order = np.argsort(anchor, kind="stable")
-    a, o, s = anchor[order], ids[order], several[order]
-    begin = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    order = np.argsort(key, kind="stable")
+    k, o, s = key[order], ids[order], several[order]
+    begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
     shared = (np.minimum.reduceat(o, begin) != np.maximum.reduceat(o, begin)) | np.logical_or.reduceat(s, begin)
-    at = order[np.repeat(shared, np.diff(np.r_[begin, len(a)])) & ~s]
-    return pa.table({"id": pa.array(ids[at]), "first": pa.array(first[at]), "windows": pa.array(windows[at]), "anchor": pa.array(anchor[at].view(np.int64))})
+    at = order[np.repeat(shared, np.diff(np.r_[begin, len(k)])) & ~s]
+    return pa.table({"id": pa.array(ids[at]), "key": pa.array(key[at].view(np.int64) | (group["shard"][0].as_py() << _BITS))})
 
 
 _SENT = "shard int, ids binary, first binary, windows binary, body binary"
 
 
-def cut_segments(shards: int):
-    """From rows (id, text, places) to packed rows: shard -1 for windows covered within the task, else segments to sort."""
+def cut_segments(tells: int, shards: int):
+    """From rows (id, text, keys) to packed rows: shard -1 for windows covered within the task, else segments to sort.
+
+    Windows whose anchor isn't among the keys are in no other document. The others are dealt to shards by a second anchor.
+    """
     names = [c.split()[0] for c in _SENT.split(", ")]
 
     def packed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(rows), 16):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if j == 0 else pa.binary()) for j, c in enumerate(zip(*rows[i : i + 16], strict=True))], names)
 
-    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def cut(ids: list[int], texts: list[bytes], keys: list[np.ndarray]) -> Iterator[tuple]:
+        """(body, id, first, windows, shard)."""
+        for i, j in _groups(texts):
+            ends = np.cumsum([len(t) for t in texts[i:j]])
+            starts = np.r_[0, ends[:-1]]
+            body = b"".join(texts[i:j])
+            m = anchors(body, TELLS)
+            valid = within(len(m), ends)
+            first, count = runs(m, valid, ends)
+            own = np.searchsorted(ends, first, "right")
+            mixed = lambda key, of: (key + of.astype(np.uint64) * _C) * _A  # noqa: E731  key and text as one number
+            wanted = mixed(np.concatenate(keys[i:j]).astype(np.int64).view(np.uint64), np.repeat(np.arange(j - i), [len(k) for k in keys[i:j]]))
+            hit = np.isin(mixed(keyed(m[first], tells), own), wanted)
+            mark = np.zeros(len(m) + 1, np.int32)
+            np.add.at(mark, first[hit], 1)
+            np.add.at(mark, first[hit] + count[hit], -1)
+            shared = np.cumsum(mark[:-1]) > 0
+            m = anchors(body, DEALS)
+            first, count = runs(m, shared, ends)
+            own = np.searchsorted(ends, first, "right")
+            shard = (m[first] % np.uint64(shards)).astype(np.int64)
+            for f, w, o, s in zip(first.tolist(), count.tolist(), own.tolist(), shard.tolist(), strict=True):
+                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]), w, s
+
+    def flush(ids: list[int], texts: list[bytes], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         least: dict[bytes, int] = {}
+        held = list(cut(ids, texts, keys))
         for body, i, _, _, _ in held:
             if i < least.get(body, i + 1):
                 least[body] = i
@@ -218,25 +264,25 @@ def cut_segments(shards: int):
         by: dict[int, list[tuple]] = {}
         for x in held:
             if x[1] == least[x[0]]:
-                by.setdefault(x[4] % shards, []).append(x)
+                by.setdefault(x[4], []).append(x)
         for shard, found in sorted(by.items()):
             rows.append((shard, np.array([x[1] for x in found], np.int64).tobytes(), np.array([x[2] for x in found], "<u4").tobytes(), np.array([x[3] for x in found], "<u4").tobytes(), b"".join(x[0] for x in found)))
         yield from packed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        ids, texts, keys, size = [], [], [], 0
         for batch in batches:
-            for i, x, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                b = text_bytes(x.as_py())
-                values = places.values
-                first, windows, anchor = (values.field(k).to_numpy(zero_copy_only=False).tolist() for k in range(3))
-                for f, w, a in zip(first, windows, anchor, strict=True):
-                    held.append((b[f : f + w + LENGTH - 1], i, f, w, a & _LOW))
-                    size += w + LENGTH - 1
-                if size >= FLUSH:
-                    yield from flush(held)
-                    held, size = [], 0
-        yield from flush(held)
+            for i, x, k in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                ids.append(i)
+                texts.append(text_bytes(x.as_py()))
+                keys.append(k.values.to_numpy(zero_copy_only=False))
+                # A key stands for about one segment of 70 bytes.
+                size += 70 * len(keys[-1])
+                if size >= FLUSH // 2:
+                    yield from flush(ids, texts, keys)
+                    ids, texts, keys, size = [], [], [], 0
+        if ids:
+            yield from flush(ids, texts, keys)
 
     return run
 
@@ -352,15 +398,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     copy_ids = copies.select("id").distinct()
     total = known.agg(F.sum("n_bytes")).first()[0] or 0
     left = _semi(rows.where("id IS NOT NULL"), copy_ids, "left_anti")
-    shards = max(16, int(total / 18 / SHARD_ANCHORS) + 1)
-    here = left.mapInArrow(places_shared_here, _PLACES)
-    between = left.mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(places_shared_between, _PLACES)
+    shards = max(16, int(total / 13 / SHARD_ANCHORS) + 1)
+    here = left.mapInArrow(keys_shared_here(shards), _PLACES)
+    between = left.mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(keys_shared_between, _PLACES)
     places = staged(here.unionByName(between))
-    volume = places.agg(F.sum(F.col("windows") + (LENGTH - 1)), F.count("*")).first()
-    parts = max(16, int((volume[0] or 0) / SHARD_BYTES) + 1)
-    by_id = places.groupBy("id").agg(F.collect_list(F.struct("first", "windows", "anchor")).alias("places"))
-    some = _semi(left, places.select("id").distinct(), "left_semi")
-    sent = staged(some.join(by_id, "id").select("id", "text", "places").mapInArrow(cut_segments(parts), _SENT))
+    parts = max(16, int(places.count() * 70 / SHARD_BYTES) + 1)
+    by_id = places.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    some = _semi(left, places.select("id").distinct(), "left_semi").where(F.octet_length("text") >= LENGTH)
+    sent = staged(some.join(by_id, "id").select("id", "text", "keys").mapInArrow(cut_segments(shards, parts), _SENT))
     inner = sent.where("shard < 0").select("ids", "first", "windows").mapInArrow(unpack_covered, "id long, first int, windows int")
     outer = sent.where("shard >= 0").groupBy("shard").applyInArrow(covered_in_shard, "id long, first int, windows int")
     covered = staged(inner.unionByName(outer))
