@@ -2,36 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from foliant.session import table
+from foliant import registry
 
+#: Modules that register queries.
+MODULES = (
+    "operators.versions", "operators.values", "operators.evaluation", "operators.telemetry",
+)
 
-def usage_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger totals per stage and model: distinct runs and sums (the events table as ledger)."""
-    e = table(spark, sf_dir, "events")
-    return e.groupBy(F.col("event_type").alias("stage"), (F.col("user_id") % 4).alias("model")).agg(
-        F.count_distinct("user_id").alias("runs"), F.count("*").alias("requests"), F.round(F.sum("value"), 4).alias("tokens")
-    )
 
-
-USAGE_SUMS_SQL = """
-    SELECT event_type AS stage, user_id % 4 AS model, count(DISTINCT user_id) AS runs, count(*) AS requests,
-           round(sum(value), 4) AS tokens
-    FROM events GROUP BY 1, 2
-"""
+def _load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"foliant.{name}")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage_sums(spark, sf_dir)
+    """The flagship query."""
+    _load()
+    return registry.QUERIES["version_link"](spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"usage_sums": usage_sums}
+def queries() -> dict[str, registry.Query]:
+    _load()
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"usage_sums": USAGE_SUMS_SQL}
+    _load()
+    return dict(registry.SQL)
