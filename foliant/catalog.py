@@ -11,6 +11,7 @@ from foliant import registry
 #: Modules that register queries.
 MODULES = (
     "operators.versions", "operators.values", "operators.evaluation", "operators.telemetry",
+    "operators.retrieval", "operators.texts",
 )
 
 
@@ -20,9 +21,9 @@ def _load() -> None:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship query."""
+    """Hybrid retrieval: word search and a second ranking fused by reciprocal ranks."""
     _load()
-    return registry.QUERIES["version_link"](spark, sf_dir)
+    return registry.QUERIES["hybrid_retrieve"](spark, sf_dir)
 
 
 def queries() -> dict[str, registry.Query]:
