@@ -52,7 +52,7 @@ def core(word: str) -> str:
 
 def edits(length: int) -> int:
     """Edits allowed in a term of this length: short words would meet others by chance."""
-    return 0 if length < 5 else 1 if length < 9 else 2
+    return 0 if length < 5 else 1 if length < 12 else 2
 
 
 class Trie:
@@ -68,21 +68,24 @@ class Trie:
             node[""] = (term, weight)
         self.gates = self._gates()
 
-    def _gates(self) -> dict[int, list[tuple[int, int, frozenset[str]]]]:
-        """Per word length, substrings (from, to, set) one of which any misspelling within edits() has unchanged.
+    def _gates(self) -> dict[int, tuple[int, list[tuple[int, int, frozenset[str]]]]]:
+        """Per word length: the most edits of a term near that length, and substrings (from, to, set) one of which any
+        misspelling within edits() has unchanged.
 
         A term cut into one part more than its edits keeps a part, shifted by no more than the edits; words without one
         need no automaton.
         """
         found: dict[int, dict[tuple[int, int], set[str]]] = {}
+        most: dict[int, int] = {}
         for term in self.terms:
             k = edits(len(term))
             cuts = [len(term) * i // (k + 1) for i in range(k + 2)]
             for a, b in zip(cuts, cuts[1:], strict=False) if k else ():
                 for length in range(len(term) - k, len(term) + k + 1):
+                    most[length] = max(most.get(length, 0), k)
                     for start in range(max(0, a - k), min(length - (b - a), a + k) + 1):
                         found.setdefault(length, {}).setdefault((start, start + b - a), set()).add(term[a:b])
-        return {length: [(a, b, frozenset(parts)) for (a, b), parts in by.items()] for length, by in found.items()}
+        return {length: (most[length], [(a, b, frozenset(parts)) for (a, b), parts in by.items()]) for length, by in found.items()}
 
     def nearest(self, word: str) -> tuple[str, float, int] | None:
         """(term, weight, distance) of the term nearest to word within edits(len(term)); ties by weight, then by name.
@@ -92,8 +95,8 @@ class Trie:
         """
         if word in self.terms:
             return word, self.terms[word], 0
-        top = edits(len(word) + 2)
-        for a, b, parts in self.gates.get(len(word), ()) if top else ():
+        top, gates = self.gates.get(len(word), (0, ()))
+        for a, b, parts in gates:
             if word[a:b] in parts:
                 break
         else:
@@ -141,13 +144,13 @@ class Model:
 
 
 def support(toxic: int) -> int:
-    """Toxic documents a term must be in: near copies of one document, which share its rare words, are no evidence."""
-    return max(3, toxic // 250)
+    """Contexts in toxic documents that a term must be in."""
+    return max(3, toxic // 100)
 
 
 def term_weights(counts: list[tuple[str, int, int]], toxic: int, clean: int, terms: int = TERMS) -> dict[str, float]:
-    """Discounted log odds of words, by the numbers t and c of toxic and of other documents that hold them, as weights up
-    to 1. A term needs support(toxic) toxic documents and odds that favour toxic ones twentyfold."""
+    """Discounted log odds of words, by the numbers t and c of their contexts in toxic and in other documents, as weights
+    up to 1. A term needs support(toxic) of the former and odds that favour toxic documents twentyfold."""
     out = []
     for word, t, c in counts:
         if t < support(toxic):
@@ -237,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     share = min(1.0, train_docs / max(1, marks.count()))
     marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(marks, "id")
-    sets = rows.select("toxic", F.md5(F.col("text")).alias("sha"), F.array_distinct(sql_words(F.lower(F.col("text")))).alias("words"))
+    sets = rows.select("toxic", F.md5(F.col("text")).alias("sha"), sql_words(F.lower(F.col("text"))).alias("words"))
     sets = sets.groupBy("sha").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words")).persist()
     try:
         sizes = {r["toxic"]: r["count"] for r in sets.groupBy("toxic").count().collect()}
@@ -245,16 +248,20 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         if not toxic:
             return Model({})
         letter = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-        by_word = (
-            sets.select("toxic", F.explode(F.array_distinct(F.transform("words", lambda w: F.regexp_replace(w, letter, "")))).alias("word"))
-            .where(F.length("word").between(3, 40)).groupBy("word")
-            .agg(F.sum("toxic").cast("long").alias("t"), F.sum(1 - F.col("toxic")).cast("long").alias("c"))
-        )
+        plain = F.filter(F.transform("words", lambda w: F.regexp_replace(w, letter, "")), lambda w: w != "")
+        # zip_with reads both arrays once; a look-up in a lambda would make the array anew for each word.
+        before = F.concat(F.array(F.lit("").cast("string")), F.col("plain"))
+        pairs = sets.select("toxic", plain.alias("plain")).select("toxic", F.array_distinct(F.filter(F.arrays_zip(F.col("plain").alias("word"), before.alias("before")), lambda x: x["word"].isNotNull())).alias("pairs"))
+        # Words count by the words before them: near copies of a document, whose rare words always follow the same ones,
+        # are no evidence.
+        contexts = pairs.select("toxic", F.inline("pairs").alias("word", "before")).where(F.length("word").between(3, 40)).groupBy("word", "before").agg(F.max("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+        by_word = contexts.groupBy("word").agg(F.sum("t").cast("long").alias("t"), F.sum("c").cast("long").alias("c")).persist()
         counts = by_word.where((F.col("t") >= support(toxic)) & (F.col("t") * (clean + 1) > 20 * F.col("c") * (toxic + 1))).orderBy(F.desc("t"), "word").limit(4 * TERMS)
         terms = term_weights([(r["word"], r["t"], r["c"]) for r in counts.collect()], toxic, clean)
         common = by_word.where((F.col("c") >= 1) & (F.length("word") >= 4)).orderBy(F.desc("c"), "word").limit(100_000)
         trie = Trie(terms)
         innocent = frozenset(r["word"] for r in common.select("word").collect() if r["word"] not in terms and trie.nearest(r["word"]))
+        by_word.unpersist()
     finally:
         sets.unpersist()
     model = Model(terms, innocent)
