@@ -11,7 +11,9 @@ from foliant import registry
 #: Modules that register queries.
 MODULES = (
     "operators.versions", "operators.values", "operators.evaluation", "operators.telemetry",
-    "operators.retrieval", "operators.texts",
+    "operators.retrieval", "operators.texts", "operators.graph", "operators.verification",
+    "operators.folds", "operators.layout", "operators.refinement", "plans.flow",
+    "streaming.traces", "sources.readers", "sources.writers",
 )
 
 
