@@ -69,3 +69,17 @@ def sql_words(text: Column) -> Column:
     """The same words (case kept) as an array column, without a regular expression per character."""
     spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
     return F.array_remove(F.split(spaced, " "), "")
+
+
+#: Ids that may be broadcast, by count: 16 MB or so.
+BROADCAST_ROWS = 1_000_000
+
+
+def checked(ids: DataFrame) -> DataFrame:
+    """A list of ids to be joined: broadcast if its counted size allows it, so that texts stay where they are."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def with_ids(df: DataFrame, ids: DataFrame, kind: str) -> DataFrame:
+    """df with (left_semi) or without (left_anti) the ids; a list too long to broadcast is joined by a shuffle."""
+    return df.join(checked(ids), "id", kind)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import staged
+from foliant.llm.common import checked, staged
 from foliant.session import ship_package
 
 #: Counters of a Misra-Gries summary: digests with more than 1 / (HOT_COUNTERS + 1) of all rows are surely found.
@@ -121,6 +121,7 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     sha = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
     work = docs.withColumn("__sha", sha)
     dropped = losers.join(tied, ["sha"], "left_anti") if not tied.isEmpty() else losers
+    dropped = checked(staged(dropped))
     out = work.join(dropped, work[key].eqNullSafe(dropped.id) & (work["__sha"] == dropped.sha), "left_anti")
     if not tied.isEmpty():
         again = out.join(tied, out["__sha"] == tied.sha, "left_semi")

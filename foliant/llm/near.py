@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import staged, word_list
+from foliant.llm.common import checked, staged, with_ids, word_list
 from foliant.llm.components import components
 from foliant.session import ship_package
 
@@ -39,7 +39,7 @@ MANTISSA = 10
 #: Estimated similarity below which a candidate pair isn't verified: five standard errors under 0.8 for 128 registers.
 ESTIMATE = 0.62
 #: Members of a bucket that one block holds.
-BLOCK = 512
+BLOCK = 1024
 MEMO = 300_000
 #: Shingles hashed at once, so that the products stay in the cache.
 CHUNK = 256
@@ -307,7 +307,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     A-Z is lower-cased; a link needs 100 * intersection >= 80 * union of the whole shingle sets. Texts without words have
     no shingles, link with nothing and are kept. component_id is the smallest key reachable by links, the own one
-    included. Rows that repeat a key are one document in several rows. Rows with a null key link with nothing: their
+    included. Rows that repeat a key are one document in several rows; if their texts
+    differ, one of them counts. Rows with a null key link with nothing: their
     component_id is null and they are kept. An empty table gives no rows; extra columns are ignored.
 
     A link of similarity exactly 0.8 shares none of the bands with probability (1 - 0.8 ** 4) ** 32 = 5e-8, and is
@@ -325,19 +326,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     shared = in_bands.groupBy("band").agg(F.min("id").alias("low"), F.count("*").alias("size")).where("size > 1")
     buckets = staged(in_bands.join(shared.select("band", "low"), "band"))
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    if not real.groupBy("id").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["id"])  # moves all texts, so it isn't done where no key repeats
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs)
-        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        some = texts.join(wanted, "id", "left_semi").dropDuplicates(["id"])
-        return staged(confirmed(pairs, staged(some)))
+        wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
+        return staged(confirmed(pairs, with_ids(texts, wanted, "left_semi")))
 
     stars = buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     links = verify(likely(stars, classes))
     part = staged(components(links))
     members = staged(open_members(buckets.select("band", "id"), part, classes))
-    wanted = members.select("id").distinct()
-    more = staged(open_links(members, texts.join(wanted, "id", "left_semi").dropDuplicates(["id"])))
+    wanted = staged(members.select("id").distinct())
+    more = staged(open_links(members, with_ids(texts, wanted, "left_semi")))
     if not more.isEmpty():
         part = staged(components(links.unionByName(more)))
     headed = part.select(F.col("node").alias("head"), "component")
@@ -352,4 +354,4 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the smallest key of each component, all columns kept; only the list of dropped keys moves."""
     dropped = near_groups(docs, key, text).where(~F.col("kept")).select(F.col(key).alias("__id")).distinct()
-    return docs.join(dropped, docs[key].cast("long") == F.col("__id"), "left_anti")
+    return docs.join(checked(staged(dropped)), docs[key].cast("long") == F.col("__id"), "left_anti")

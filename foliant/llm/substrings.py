@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import discard, staged, text_bytes
+from foliant.llm.common import discard, staged, text_bytes, with_ids
 from foliant.llm.induced import suffix_order
 from foliant.session import ship_package
 
@@ -36,8 +36,6 @@ TELLS, DEALS = 24, 12
 FLUSH = 16 << 20
 #: Anchors and segment bytes that a shard should have.
 SHARD_ANCHORS, SHARD_BYTES = 1_000_000, 6 << 20
-#: Ids that may be broadcast, by count.
-BROADCAST_ROWS = 1_000_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 #: Bits of an anchor that are kept besides its shard.
@@ -376,11 +374,6 @@ def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n == "kept_sha256" else pa.int64()) for n, c in zip(names, zip(*rows, strict=True), strict=True)], names)
 
 
-def _semi(docs: DataFrame, ids: DataFrame, kind: str) -> DataFrame:
-    """docs with (or without) the ids; a list of counted size is broadcast, so that texts stay where they are."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, "id", kind)
-
-
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: (key, n_bytes, n_removed, n_spans, kept_sha256).
 
@@ -397,14 +390,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     copies = staged(known.join(heads, "digest").where("id > head").select("id", "digest", "n_bytes"))
     copy_ids = copies.select("id").distinct()
     total = known.agg(F.sum("n_bytes")).first()[0] or 0
-    left = _semi(rows.where("id IS NOT NULL"), copy_ids, "left_anti")
+    left = with_ids(rows.where("id IS NOT NULL"), copy_ids, "left_anti")
     shards = max(16, int(total / 13 / SHARD_ANCHORS) + 1)
     here = left.mapInArrow(keys_shared_here(shards), _PLACES)
     between = left.mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(keys_shared_between, _PLACES)
     places = staged(here.unionByName(between))
     parts = max(16, int(places.count() * 70 / SHARD_BYTES) + 1)
     by_id = places.groupBy("id").agg(F.collect_list("key").alias("keys"))
-    some = _semi(left, places.select("id").distinct(), "left_semi").where(F.octet_length("text") >= LENGTH)
+    some = with_ids(left, places.select("id").distinct(), "left_semi").where(F.octet_length("text") >= LENGTH)
     sent = staged(some.join(by_id, "id").select("id", "text", "keys").mapInArrow(cut_segments(shards, parts), _SENT))
     inner = sent.where("shard < 0").select("ids", "first", "windows").mapInArrow(unpack_covered, "id long, first int, windows int")
     outer = sent.where("shard >= 0").groupBy("shard").applyInArrow(covered_in_shard, "id long, first int, windows int")
@@ -412,7 +405,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     discard(places)
     spans = covered.groupBy("id").agg(F.collect_list(F.struct("first", "windows")).alias("places"))
     touched = staged(covered.select("id").distinct())
-    rewritten = _semi(left, touched, "left_semi").join(spans, "id").select("id", "text", "places").mapInArrow(rewrite, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rewritten = with_ids(left, touched, "left_semi").join(spans, "id").select("id", "text", "places").mapInArrow(rewrite, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     whole = F.col("n_bytes") >= LENGTH
     empty = hashlib.sha256(b"").hexdigest()
     hexed = F.lower(F.hex("digest"))
