@@ -289,7 +289,24 @@ def covered_in_shard(group: pa.Table) -> pa.Table:
     """Of one shard of segments: (id, first, windows) of runs of windows that a smaller id has too."""
     ids = np.frombuffer(_joined(group["ids"]), np.int64)
     first, windows = (np.frombuffer(_joined(group[c]), "<u4").astype(np.int64) for c in ("first", "windows"))
-    text = np.frombuffer(_joined(group["body"]), np.uint8)
+    raw = _joined(group["body"])
+    size = windows + LENGTH - 1
+    start = np.cumsum(size) - size
+    # Equal segments of larger ids are covered whole; most of a shard is that, and only the rest is sorted.
+    bodies = [raw[a:b] for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
+    least: dict[bytes, int] = {}
+    for body, i in zip(bodies, ids.tolist(), strict=True):
+        if i < least.get(body, i + 1):
+            least[body] = i
+    own = ids == np.fromiter(map(least.__getitem__, bodies), np.int64, len(bodies))
+    whole = pa.table({"id": pa.array(ids[~own]), "first": pa.array(first[~own].astype(np.int32)), "windows": pa.array(windows[~own].astype(np.int32))})
+    text = np.frombuffer(b"".join(b for b, o in zip(bodies, own.tolist(), strict=True) if o), np.uint8)
+    del bodies, least, raw
+    return pa.concat_tables([whole, covered_by_suffixes(text, ids[own], first[own], windows[own])])
+
+
+def covered_by_suffixes(text: np.ndarray, ids: np.ndarray, first: np.ndarray, windows: np.ndarray) -> pa.Table:
+    """The same for segments joined to one text, none of them equal but within a document."""
     size = windows + LENGTH - 1
     start = np.cumsum(size) - size
     owner = np.repeat(np.arange(len(ids), dtype=np.int32), size)
