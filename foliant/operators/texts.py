@@ -145,7 +145,7 @@ def numbers_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""
     WITH b AS (SELECT item_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS quote FROM benchmark),
-    d AS (SELECT doc_id, trim(regexp_replace(replace(translate(text, '„“”‟«»‚‘’‑–—−', '""""""''''''----'), '**', ''), '\s+', ' ', 'g')) AS body FROM documents)
+    d AS (SELECT doc_id, trim(regexp_replace(replace(translate(text, '„“”‟«»‚‘’‑–—−', repeat(chr(34), 6) || repeat(chr(39), 3) || '----'), '**', ''), '\s+', ' ', 'g')) AS body FROM documents)
     SELECT item_id, doc_id FROM b, d WHERE length(quote) >= 8 AND contains(body, quote)
 """)
 def quotes_found(spark: SparkSession, sf_dir: str) -> DataFrame:
