@@ -145,7 +145,7 @@ class Model:
 
 def support(toxic: int) -> int:
     """Contexts in toxic documents that a term must be in."""
-    return max(3, toxic // 100)
+    return max(5, toxic // 100)
 
 
 def term_weights(counts: list[tuple[str, int, int]], toxic: int, clean: int, terms: int = TERMS) -> dict[str, float]:
