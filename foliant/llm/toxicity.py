@@ -251,10 +251,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         plain = F.filter(F.transform("words", lambda w: F.regexp_replace(w, letter, "")), lambda w: w != "")
         # zip_with reads both arrays once; a look-up in a lambda would make the array anew for each word.
         before = F.concat(F.array(F.lit("").cast("string")), F.col("plain"))
-        pairs = sets.select("toxic", plain.alias("plain")).select("toxic", F.array_distinct(F.filter(F.arrays_zip(F.col("plain").alias("word"), before.alias("before")), lambda x: x["word"].isNotNull())).alias("pairs"))
+        pairs = sets.select("toxic", plain.alias("plain")).select("toxic", F.filter(F.arrays_zip(F.col("plain").alias("word"), before.alias("before")), lambda x: x["word"].isNotNull()).alias("pairs"))
         # Words count by the words before them: near copies of a document, whose rare words always follow the same ones,
         # are no evidence.
-        contexts = pairs.select("toxic", F.inline("pairs").alias("word", "before")).where(F.length("word").between(3, 40)).groupBy("word", "before").agg(F.max("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+        contexts = pairs.select("toxic", F.inline("pairs").alias("word", "before")).where(F.length("word").between(3, 40)).groupBy("word", "before").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
         by_word = contexts.groupBy("word").agg(F.sum("t").cast("long").alias("t"), F.sum("c").cast("long").alias("c")).persist()
         counts = by_word.where((F.col("t") >= support(toxic)) & (F.col("t") * (clean + 1) > 20 * F.col("c") * (toxic + 1))).orderBy(F.desc("t"), "word").limit(4 * TERMS)
         terms = term_weights([(r["word"], r["t"], r["c"]) for r in counts.collect()], toxic, clean)
