@@ -93,7 +93,7 @@ def _triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TRIPLES = """
-    WITH h AS (SELECT 'v/' || l_orderkey || '/' || ((l_linenumber * 100000 + l_partkey) * 10000 + l_suppkey) AS s, CAST(l_orderkey AS VARCHAR) AS document, l_returnflag AS parameter, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS value,
+    WITH h AS (SELECT 'v/' || l_orderkey || '/' || (((l_linenumber * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)) AS s, CAST(l_orderkey AS VARCHAR) AS document, l_returnflag AS parameter, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS value,
         CAST(year(l_shipdate) AS VARCHAR) AS year, CASE WHEN l_linestatus = 'F' THEN 'F' END AS status FROM lineitem)
 """
 

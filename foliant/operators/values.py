@@ -1,7 +1,7 @@
 """The store of values read from documents: identity, trust, search, states and coverage.
 
-lineitem stands in for a harvest: a document's (l_orderkey) rows, in order of l_linenumber (made unique by part
-and supplier), each a value (l_quantity) of
+lineitem stands in for a harvest: a document's (l_orderkey) rows, in order of l_linenumber (made unique by part,
+supplier and quantity), each a value (l_quantity) of
 a parameter (l_returnflag) with coordinates (l_linestatus and the year of l_shipdate).
 """
 
@@ -24,13 +24,13 @@ def harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The harvest's rows, with only the columns of lineitem they need."""
     l = table(spark, sf_dir, "lineitem")
     return l.select(
-        F.col("l_orderkey").alias("document"), ((F.col("l_linenumber") * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")).cast("long").alias("pos"), F.col("l_returnflag").alias("parameter"),
+        F.col("l_orderkey").alias("document"), (((F.col("l_linenumber") * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity")).cast("long").alias("pos"), F.col("l_returnflag").alias("parameter"),
         F.col("l_quantity").alias("value"), F.col("l_linestatus").alias("status"), F.year("l_shipdate").alias("year"), F.col("l_discount").alias("discount"),
     )
 
 
 HARVEST = """
-    WITH h AS (SELECT l_orderkey AS document, (l_linenumber * 100000 + l_partkey) * 10000 + l_suppkey AS pos, l_returnflag AS parameter, l_quantity AS value,
+    WITH h AS (SELECT l_orderkey AS document, ((l_linenumber * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS pos, l_returnflag AS parameter, l_quantity AS value,
                       l_linestatus AS status, year(l_shipdate) AS year, l_discount AS discount FROM lineitem)
 """
 
