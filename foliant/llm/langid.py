@@ -26,7 +26,7 @@ VOCABULARY = 60_000
 LONGEST = 5
 #: Weight of one word's fallback score against that of a known word.
 BACKOFF = 0.4
-MEMO = 300_000
+MEMO = 100_000
 
 
 def core(word: str) -> str:

@@ -40,7 +40,7 @@ MANTISSA = 10
 ESTIMATE = 0.62
 #: Members of a bucket that one block holds.
 BLOCK = 1024
-MEMO = 300_000
+MEMO = 100_000
 #: Shingles hashed at once, so that the products stay in the cache.
 CHUNK = 256
 

@@ -118,7 +118,7 @@ class Encoder:
     may be cut there and its chunks encoded alone. Texts with a space behind other white space take the plain way.
     """
 
-    ENTRIES = 300_000
+    ENTRIES = 150_000
 
     def __init__(self, ranks: bytes, pattern: str):
         import tiktoken

@@ -31,7 +31,7 @@ TERMS = 3_000
 WINDOW = 5
 #: What a quoted hit weighs against one that is not.
 QUOTED = 0.35
-MEMO = 400_000
+MEMO = 100_000
 
 # Words of reporting, after or before which a term is being quoted.
 REPORTING = frozenset("said says wrote quote quoted quotes called calls sagte sagt zitat dijo dice cita dit disait cite".split())

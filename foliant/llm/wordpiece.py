@@ -21,7 +21,7 @@ from foliant.session import ship_package
 
 #: Mark of a word's end in the vocabulary.
 END = "</w>"
-MEMO = 300_000
+MEMO = 100_000
 
 
 class Automaton:
