@@ -10,6 +10,8 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -41,8 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Give the Python workers this package: a zip of a few hundred KB that Spark serves to every executor, once a context."""
+    """Give the Python workers this package: a zip of a few hundred KB that Spark serves to every executor, once a context.
+
+    Rows hold whole texts, so Arrow batches are made smaller where the session has the default size.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH, "10000") == "10000":
+        spark.conf.set(BATCH, "2000")
     if not getattr(context, "_foliant_shipped", False):
         folder = tempfile.mkdtemp(prefix="foliant-code-")
         atexit.register(shutil.rmtree, folder, True)
