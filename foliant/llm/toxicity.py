@@ -218,10 +218,10 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-3) -> list[float]:
-    """Ridge logistic regression by Newton steps, classes weighed alike."""
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, rounds: int = 60, ridge: float = 1e-3) -> list[float]:
+    """Ridge logistic regression by Newton steps over rows that stand for n documents each, classes weighed alike."""
     x = np.column_stack([np.ones(len(x)), x])
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    share = n * np.where(y == 1, 0.5 / max(1, (n * y).sum()), 0.5 / max(1, (n * (1 - y)).sum()))
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -276,10 +276,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     # At most about train_docs rows of four numbers.
     got = rows.select("toxic", "text").mapInArrow(run, "toxic int, a double, b double, c double").groupBy("toxic", "a", "b", "c").count().collect()
-    x = np.array([[r["a"], r["b"], r["c"]] for r in got for _ in range(min(r["count"], 1))])
-    y = np.array([r["toxic"] for r in got], float)
+    x = np.array([[r["a"], r["b"], r["c"]] for r in got])
+    y, n = (np.array([r[c] for r in got], float) for c in ("toxic", "count"))
     # Regularised towards weights that make one full-weight hit decisive, so that a model without clean hits stays calm.
-    w = logistic(np.vstack([x, np.zeros((1, 3))]), np.append(y, 0.0))
+    w = logistic(np.vstack([x, np.zeros((1, 3))]), np.append(y, 0.0), np.append(n, 1.0))
     model.weights = [w[0], max(w[1], 0.0), max(w[2], 0.0), max(w[3], 0.0)]
     return model
 

@@ -231,3 +231,16 @@ def test_mixing_meets_its_target(spark, awkward, nothing):
     copies = mixing.mixed(df, mixing.Target(entropy=0.9))
     assert copies.columns == df.columns and copies.count() == mixing.mixture(df, mixing.Target(entropy=0.9)).count()
     assert mixing.mixture(nothing).count() == 0 and mixing.mixed(awkward).columns == awkward.columns
+
+
+def test_toxicity_weights_count_every_labelled_document(spark, sf_dir):
+    sf = sf_dir.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    scorer = toxicity.Scorer(model)
+    each = [(scorer.features(r["text"]), toxic[r["doc_id"]]) for r in docs.collect() if r["text"] is not None and r["doc_id"] in toxic]
+    x = np.array([*(f for f, _ in each), (0.0, 0.0, 0.0)])
+    y = np.array([*(t for _, t in each), 0], float)
+    w = toxicity.logistic(x, y, np.ones(len(y)))
+    assert model.weights == pytest.approx([w[0], *(max(v, 0.0) for v in w[1:])], rel=1e-6)
