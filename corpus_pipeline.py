@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from foliant.llm import exact, mixing, near, packing, toxicity
 from foliant.llm.common import staged
 
+#: Words of a shingle in the near-dedup stage; op2_minhash has its own.
+SHINGLE = 5
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go. The model is learned from the labels and the documents of this stage's input."""
@@ -19,8 +22,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return near.without_near_copies(docs)
+    """One document of each group of near copies stays; copies share 80 % of their shingles of SHINGLE words."""
+    return near.without_near_copies(docs, shingle=SHINGLE)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """MinHash near-dedup with HyperMinHash registers (operator 2).
 
-Every document becomes a set of hashed 2-word shingles. Documents with equal sets form a class; only its smallest
+Every document becomes a set of hashed word shingles, of SHINGLE words unless the caller says otherwise. Documents with equal sets form a class; only its smallest
 document goes on. A sketch has REGISTERS buckets. A bucket's minimum is stored as a leading-zero count and a few
 mantissa bits behind the leading one, two bytes in all. Bands of registers give candidates; the estimated Jaccard
 similarity of two sketches, corrected for registers that agree by chance, drops most false ones; the rest are
@@ -29,6 +29,7 @@ from foliant.llm.common import checked, staged, with_ids, word_list
 from foliant.llm.components import components
 from foliant.session import ship_package
 
+#: Words of a shingle in op2_minhash.
 SHINGLE = 2
 PERCENT = 80
 ROWS = 4
@@ -149,7 +150,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
+def sketches(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """(id, n, digest, sketch) per row of docs; digest identifies the set, both are null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +158,7 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             n, digest, sketch = [], [], []
             for x in batch.column(1):
-                s = shingles(x.as_py(), hashes)
+                s = shingles(x.as_py(), hashes, shingle)
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sketch.append(registers(s, work).tobytes() if len(s) else None)
@@ -201,7 +202,7 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) that are links on the whole shingle sets of texts (id, text)."""
     side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias("t" + x))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -213,8 +214,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             keep = []
             for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if b != last[0]:
-                    last = (b, shingles(tb.as_py(), hashes))
-                keep.append(linked(shingles(ta.as_py(), hashes), last[1]))
+                    last = (b, shingles(tb.as_py(), hashes, shingle))
+                keep.append(linked(shingles(ta.as_py(), hashes, shingle), last[1]))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
@@ -271,7 +272,7 @@ def open_members(buckets: DataFrame, part: DataFrame, classes: DataFrame) -> Dat
     return dealt.groupBy("band", "x", "y").applyInArrow(run, _OPEN)
 
 
-def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+def open_links(members: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Links (a, b) among open_members, on whole shingle sets: of each pair of blocks, as many as join its components."""
     both = members.join(texts, "id").select(*(c.split()[0] for c in _OPEN.split(", ")), "text")
 
@@ -288,7 +289,7 @@ def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
 
         def of(i: int) -> np.ndarray:
             if i not in sets:
-                sets[i] = shingles(group["text"][i].as_py(), hashes)
+                sets[i] = shingles(group["text"][i].as_py(), hashes, shingle)
             return sets[i]
 
         found = []
@@ -302,7 +303,7 @@ def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
     return both.groupBy("band", "x", "y").applyInArrow(run, "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per input row: (key, n_shingles, component_id, kept).
 
     A-Z is lower-cased; a link needs 100 * intersection >= 80 * union of the whole shingle sets. Texts without words have
@@ -314,7 +315,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     A link of similarity exactly 0.8 shares none of the bands with probability (1 - 0.8 ** 4) ** 32 = 5e-8, and is
     estimated below ESTIMATE with about 1e-6; nothing else is left to chance.
     """
-    per_doc = staged(sketches(docs, key, text))
+    per_doc = staged(sketches(docs, key, text, shingle))
     real = per_doc.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
     # The smallest document of each class of equal sets stands for it.
     heads = real.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("size"))
@@ -332,14 +333,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs)
         wanted = staged(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
-        return staged(confirmed(pairs, with_ids(texts, wanted, "left_semi")))
+        return staged(confirmed(pairs, with_ids(texts, wanted, "left_semi"), shingle))
 
     stars = buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     links = verify(likely(stars, classes))
     part = staged(components(links))
     members = staged(open_members(buckets.select("band", "id"), part, classes))
     wanted = staged(members.select("id").distinct())
-    more = staged(open_links(members, with_ids(texts, wanted, "left_semi")))
+    more = staged(open_links(members, with_ids(texts, wanted, "left_semi"), shingle))
     if not more.isEmpty():
         part = staged(components(links.unionByName(more)))
     headed = part.select(F.col("node").alias("head"), "component")
@@ -351,7 +352,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """docs with the smallest key of each component, all columns kept; only the list of dropped keys moves."""
-    dropped = near_groups(docs, key, text).where(~F.col("kept")).select(F.col(key).alias("__id")).distinct()
+    dropped = near_groups(docs, key, text, shingle).where(~F.col("kept")).select(F.col(key).alias("__id")).distinct()
     return docs.join(checked(staged(dropped)), docs[key].cast("long") == F.col("__id"), "left_anti")
