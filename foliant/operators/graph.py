@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.llm.common import staged
 from foliant.operators.values import harvest
 from foliant.registry import query
 from foliant.session import table
@@ -37,15 +38,25 @@ def match(triples: DataFrame, patterns: list[tuple[str, str, str]], optional: li
     return out
 
 
-def closure(spark: SparkSession, edges: DataFrame, depth: int = 32) -> DataFrame:
-    """(child, ancestor) of edges (child, parent), by a recursive query that stops at `depth` and at cycles."""
-    edges.createOrReplaceTempView("__edges")
-    return spark.sql(f"""
-        WITH RECURSIVE up(child, ancestor, n) AS (
-            SELECT child, parent, 1 FROM __edges WHERE child <> parent
-            UNION ALL SELECT up.child, e.parent, n + 1 FROM up JOIN __edges e ON up.ancestor = e.child WHERE n < {depth} AND e.parent <> up.child)
-        SELECT DISTINCT child, ancestor FROM up
-    """)
+def closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(child, ancestor) of edges (child, parent), to the fixpoint at any depth; cycles end it too, and no child is its own ancestor.
+
+    Round k knows all ancestors up to 2 ** k steps away and adds those that a way of exactly 2 ** k steps leads on to, so
+    the rounds grow with the logarithm of the depth.
+    """
+    known = staged(edges.select("child", F.col("parent").alias("ancestor")).where("child <> ancestor").distinct())
+    far = known  # pairs that a way of exactly 2 ** k steps joins
+
+    def onward(near: DataFrame) -> DataFrame:
+        last = near.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("__next"))
+        return far.join(last, "ancestor").where("child <> __next").select("child", F.col("__next").alias("ancestor")).distinct()
+
+    while True:
+        new = staged(onward(known).join(known, ["child", "ancestor"], "left_anti"))
+        if new.isEmpty():
+            return known
+        far = staged(onward(far))
+        known = staged(known.unionByName(new))
 
 
 def term_index(triples: DataFrame) -> DataFrame:

@@ -60,6 +60,14 @@ def test_patterns_bind_and_options_stay_open(spark):
     assert {(r["s"], r["n"]) for r in got.collect()} == {("a", "n"), ("b", None)}
 
 
+def test_closure_has_no_depth(spark):
+    ring = [(100 + i, 100 + (i + 1) % 5) for i in range(5)]
+    e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(0, 2), (0, 1), (7, 7), (200, 100)] + ring, "child long, parent long")
+    got = rows(graph.closure(spark, e), "child", "ancestor")
+    wanted = {(i, j) for i in range(41) for j in range(i + 1, 41)} | {(i, j) for i in [*range(100, 105), 200] for j in range(100, 105) if i != j}
+    assert len(got) == len(set(got)) and set(got) == wanted
+
+
 def test_merged_sections_go_to_the_last_kept(spark):
     s = spark.createDataFrame([(1, 1, "a", "merge_into_previous"), (1, 2, "b", "keep"), (1, 3, "c", "remove"), (1, 4, "d", "merge_into_previous")], "doc long, pos long, t string, action string")
     assert rows(refinement.apply_actions(s, "doc", "pos", "t", "action"), "pos", "t", "parts") == [(1, "a b d", 3)]
