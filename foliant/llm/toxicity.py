@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from foliant.llm.common import bucket_of, sql_words
+from foliant.llm.common import bucket_of, checked, discard, free_name, sql_words, staged
 from foliant.session import ship_package
 
 #: Folds of crc32(doc_id); fold 1 is held out.
@@ -25,8 +26,6 @@ FOLDS = 3
 THRESHOLD = 0.7
 #: Labelled documents, expected, that the lexicon is learned from; a hash of the id chooses them.
 TRAIN_DOCS = 40_000
-#: Terms of the lexicon at most, by weight.
-TERMS = 3_000
 #: Words to either side of a hit that make its context.
 WINDOW = 5
 #: What a quoted hit weighs against one that is not.
@@ -52,7 +51,7 @@ def core(word: str) -> str:
 
 def edits(length: int) -> int:
     """Edits allowed in a term of this length: short words would meet others by chance."""
-    return 0 if length < 5 else 1 if length < 12 else 2
+    return 0 if length < 4 else 1 if length < 12 else 2
 
 
 class Trie:
@@ -148,18 +147,17 @@ def support(toxic: int) -> int:
     return max(5, toxic // 100)
 
 
-def term_weights(counts: list[tuple[str, int, int]], toxic: int, clean: int, terms: int = TERMS) -> dict[str, float]:
+def term_weights(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Discounted log odds of words, by the numbers t and c of their contexts in toxic and in other documents, as weights
     up to 1. A term needs support(toxic) of the former and odds that favour toxic documents twentyfold."""
-    out = []
+    out = {}
     for word, t, c in counts:
         if t < support(toxic):
             continue
         odds = math.log((t - 0.7) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
         if odds > math.log(20):
-            out.append((min(odds, 6.0) / 6.0, word))
-    out.sort(key=lambda x: (-x[0], x[1]))
-    return {w: x for x, w in out[:terms]}
+            out[word] = min(odds, 6.0) / 6.0
+    return dict(sorted(out.items()))
 
 
 class Scorer:
@@ -235,37 +233,40 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, rounds: int = 60, ridg
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
-    """Lexicon and weights from the labelled documents outside the held-out fold; copies of a text count once."""
-    marks = labels.where((bucket_of(key, FOLDS) != 1) & F.col("toxic").isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max("toxic").alias("toxic"))
+    """Lexicon and weights from the labelled documents outside the held-out fold.
+
+    A hash of the id chooses about train_docs of them, the one bound of this model: all words of the chosen texts are
+    counted and every word that earns it becomes a term. Copies of a text count once; a text with both labels counts as
+    evidence for both. Null labels, null ids and null texts are left out; several labels of one id count as toxic if one
+    of them does; without toxic documents the lexicon is empty and every text scores alike.
+    """
+    marks = labels.where((bucket_of(key, FOLDS) != 1) & F.col("toxic").isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    marks = staged(marks)
     share = min(1.0, train_docs / max(1, marks.count()))
     marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(marks, "id")
-    sets = rows.select("toxic", F.md5(F.col("text")).alias("sha"), sql_words(F.lower(F.col("text"))).alias("words"))
-    sets = sets.groupBy("sha").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words")).persist()
-    try:
-        sizes = {r["toxic"]: r["count"] for r in sets.groupBy("toxic").count().collect()}
-        toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-        if not toxic:
-            return Model({})
-        letter = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
-        plain = F.filter(F.transform("words", lambda w: F.regexp_replace(w, letter, "")), lambda w: w != "")
-        # zip_with reads both arrays once; a look-up in a lambda would make the array anew for each word.
-        before = F.concat(F.array(F.lit("").cast("string")), F.col("plain"))
-        pairs = sets.select("toxic", plain.alias("plain")).select("toxic", F.filter(F.arrays_zip(F.col("plain").alias("word"), before.alias("before")), lambda x: x["word"].isNotNull()).alias("pairs"))
-        # Words count by the words before them: near copies of a document, whose rare words always follow the same ones,
-        # are no evidence.
-        contexts = pairs.select("toxic", F.inline("pairs").alias("word", "before")).where(F.length("word").between(3, 40)).groupBy("word", "before").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
-        by_word = contexts.groupBy("word").agg(F.sum("t").cast("long").alias("t"), F.sum("c").cast("long").alias("c")).persist()
-        counts = by_word.where((F.col("t") >= support(toxic)) & (F.col("t") * (clean + 1) > 20 * F.col("c") * (toxic + 1))).orderBy(F.desc("t"), "word").limit(4 * TERMS)
-        terms = term_weights([(r["word"], r["t"], r["c"]) for r in counts.collect()], toxic, clean)
-        common = by_word.where((F.col("c") >= 1) & (F.length("word") >= 4)).orderBy(F.desc("c"), "word").limit(100_000)
-        trie = Trie(terms)
-        innocent = frozenset(r["word"] for r in common.select("word").collect() if r["word"] not in terms and trie.nearest(r["word"]))
-        by_word.unpersist()
-    finally:
-        sets.unpersist()
-    model = Model(terms, innocent)
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(checked(marks), "id")
+    rows = staged(rows.select("toxic", "text"))
+    alike = rows.select("toxic", F.unhex(F.md5(F.col("text"))).alias("digest")).groupBy("digest").agg(F.max("toxic").alias("toxic"))
+    sizes = {r["toxic"]: r["count"] for r in alike.groupBy("toxic").count().collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not toxic:
+        return Model({})
+    by_word = staged(context_counts(rows))
+    # A term has support() contexts or more in the toxic texts chosen, so their words bound the number of terms.
+    counts = by_word.where((F.col("t") >= support(toxic)) & (F.col("t") * (clean + 1) > 20 * F.col("c") * (toxic + 1)))
+    terms = term_weights([(r["word"], r["t"], r["c"]) for r in counts.collect()], toxic, clean)
     spark = ship_package(docs.sparkSession)
+    lexicon = spark.sparkContext.broadcast(terms)
+
+    def near_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = Trie(lexicon.value)
+        for batch in batches:
+            yield batch.filter(pa.array([trie.nearest(w) is not None for w in batch.column(0).to_pylist()], pa.bool_()))
+
+    # Words no more frequent in toxic texts than in others; only those near a term come to the driver.
+    usual = by_word.where((F.col("c") >= 1) & (F.col("c") * (toxic + 1) >= F.col("t") * (clean + 1)))
+    innocent = frozenset(r["word"] for r in usual.select("word").mapInArrow(near_terms, "word string").collect()) - terms.keys()
+    model = Model(terms, innocent)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,29 +277,60 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     # At most about train_docs rows of four numbers.
     got = rows.select("toxic", "text").mapInArrow(run, "toxic int, a double, b double, c double").groupBy("toxic", "a", "b", "c").count().collect()
-    x = np.array([[r["a"], r["b"], r["c"]] for r in got])
-    y, n = (np.array([r[c] for r in got], float) for c in ("toxic", "count"))
-    # Regularised towards weights that make one full-weight hit decisive, so that a model without clean hits stays calm.
-    w = logistic(np.vstack([x, np.zeros((1, 3))]), np.append(y, 0.0), np.append(n, 1.0))
-    model.weights = [w[0], max(w[1], 0.0), max(w[2], 0.0), max(w[3], 0.0)]
+    model.weights = fit([(r["toxic"], r["a"], r["b"], r["c"], r["count"]) for r in got])
+    for table in (marks, rows, by_word):
+        discard(table)
     return model
 
 
-def _scored(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """docs with a last column __score."""
+def context_counts(rows: DataFrame) -> DataFrame:
+    """(word, t, c) of rows (toxic, text): in how many contexts a word stands in toxic and in other texts.
+
+    A context is the word before. Near copies of a document, whose rare words always follow the same ones, are no
+    evidence this way. Contexts travel as 32-bit hashes.
+    """
+    edge = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+    words = rows.select("toxic", sql_words(F.lower(F.col("text"))).alias("words"))
+    plain = F.filter(F.transform("words", lambda w: F.regexp_replace(w, edge, "")), lambda w: w != "")
+    # arrays_zip reads both arrays once; a look-up in a lambda would make the array anew for each word.
+    before = F.concat(F.array(F.lit("").cast("string")), F.col("plain"))
+    pairs = words.select("toxic", plain.alias("plain")).select("toxic", F.filter(F.arrays_zip(F.col("plain").alias("word"), before.alias("before")), lambda x: x["word"].isNotNull()).alias("pairs"))
+    contexts = pairs.select("toxic", F.inline("pairs").alias("word", "before")).groupBy("word", F.hash("before").alias("before")).agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
+    return contexts.groupBy("word").agg(F.sum("t").cast("long").alias("t"), F.sum("c").cast("long").alias("c"))
+
+
+def fit(rows: list[tuple[int, float, float, float, int]]) -> list[float]:
+    """Bias and weights from (toxic, three features, number of documents); no feature may speak against toxicity.
+
+    One made document without a hit is among the clean ones, so that a model without any stays calm.
+    """
+    rows = sorted(rows) + [(0, 0.0, 0.0, 0.0, 1)]
+    x = np.array([r[1:4] for r in rows])
+    y, n = (np.array([r[i] for r in rows], float) for i in (0, 4))
+    used = [0, 1, 2]
+    while True:
+        w = logistic(x[:, used], y, n)
+        against = [f for f, v in zip(used, w[1:], strict=True) if v < 0]
+        if not against:
+            break
+        used = [f for f in used if f not in against]
+    found = dict(zip(used, w[1:], strict=True))
+    return [w[0], *(found.get(f, 0.0) for f in range(3))]
+
+
+def _scored(docs: DataFrame, model: Model, text: str) -> tuple[DataFrame, str]:
+    """docs with a last column of scores, and the name of that column, which is none that docs has."""
     spark = ship_package(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)  # bounded by TERMS
-    at = docs.columns.index(text)
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample that it was learned from
+    at, name = docs.columns.index(text), free_name("score", docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
             scores = pa.array([scorer.score(x.as_py()) for x in batch.column(at)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "__score"])
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())])), name
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -308,10 +340,14 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     repeated; an empty table gives no rows; extra columns are ignored. Nothing but the text enters a score.
     """
     chosen = docs.select(F.col(key), (bucket_of(key, FOLDS) == 1).alias("held_out"), F.col(text))
-    out = _scored(chosen, model, text)
-    return out.select(key, "held_out", F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+    out, name = _scored(chosen, model, text)
+    return out.select(key, "held_out", F.col(name).alias("score"), (F.col(name) >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs whose score stays below the threshold, all columns kept."""
-    return _scored(docs, model, text).where(F.col("__score") < THRESHOLD).drop("__score")
+    """docs whose score stays below the threshold, all columns kept, whatever their names.
+
+    Null and empty texts have no hit and stay; repeated rows are judged alike; an empty table stays empty.
+    """
+    out, name = _scored(docs, model, text)
+    return out.where(F.col(name) < THRESHOLD).drop(name)
