@@ -300,22 +300,15 @@ def context_counts(rows: DataFrame) -> DataFrame:
 
 
 def fit(rows: list[tuple[int, float, float, float, int]]) -> list[float]:
-    """Bias and weights from (toxic, three features, number of documents); no feature may speak against toxicity.
+    """Bias and weights from (toxic, three features, number of documents); a weight that speaks against toxicity is set to 0.
 
     One made document without a hit is among the clean ones, so that a model without any stays calm.
     """
     rows = sorted(rows) + [(0, 0.0, 0.0, 0.0, 1)]
     x = np.array([r[1:4] for r in rows])
     y, n = (np.array([r[i] for r in rows], float) for i in (0, 4))
-    used = [0, 1, 2]
-    while True:
-        w = logistic(x[:, used], y, n)
-        against = [f for f, v in zip(used, w[1:], strict=True) if v < 0]
-        if not against:
-            break
-        used = [f for f in used if f not in against]
-    found = dict(zip(used, w[1:], strict=True))
-    return [w[0], *(found.get(f, 0.0) for f in range(3))]
+    w = logistic(x, y, n)
+    return [w[0], *(max(v, 0.0) for v in w[1:])]
 
 
 def _scored(docs: DataFrame, model: Model, text: str) -> tuple[DataFrame, str]:
