@@ -10,6 +10,7 @@ padding.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -120,7 +121,7 @@ class Encoder:
 
     ENTRIES = 150_000
 
-    def __init__(self, ranks: bytes, pattern: str):
+    def __init__(self, ranks: bytes, pattern: str, specials: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         pairs = (line.split() for line in ranks.splitlines() if line)
@@ -140,9 +141,17 @@ class Encoder:
                 return ids
 
         self.chunks = Chunks()
+        self.specials = {x: np.array([i], "<u4").tobytes() for x, i in specials}
+        self.apart = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
 
     def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+        """Little-endian unsigned 32-bit ids; a special token's string is its one id, and what lies around it is encoded
+        by itself, as the tokenizer does with added tokens."""
+        if any(map(text.__contains__, self.specials)):
+            return b"".join(self.specials.get(part) or self.ordinary(part) for part in self.apart.split(text) if part)
+        return self.ordinary(text)
+
+    def ordinary(self, text: str) -> bytes:
         if SPACE_IN_RUN.search(text):
             return self.plain(text)
         first, *rest = text.split(" ")
@@ -153,40 +162,43 @@ SPACE_IN_RUN = re.compile(r"\s ")
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(ranks: bytes, pattern: str) -> Encoder:
+def encoder(ranks: bytes, pattern: str, specials: tuple[tuple[str, int], ...] = ()) -> Encoder:
     """One per Python worker and vocabulary."""
-    key = (len(ranks), zlib.crc32(ranks), pattern)
+    key = (len(ranks), zlib.crc32(ranks), pattern, specials)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(ranks, pattern)
+        _ENCODERS[key] = Encoder(ranks, pattern, specials)
     return _ENCODERS[key]
 
 
-def rank_file(path: str | None = None) -> tuple[bytes, str]:
-    """Ranks (about 1 MB, the size of the vocabulary) and split pattern of the 50k byte-level BPE.
+def rank_file(path: str | None = None, described: str | None = None) -> tuple[bytes, str, tuple[tuple[str, int], ...]]:
+    """Ranks (about 1 MB, the size of the vocabulary), split pattern and added tokens of the 50k byte-level BPE.
 
-    The rank file holds the vocabulary of byte_bpe_50k.json; the ids agree, which the tests verify against `tokenizers`.
+    The rank file holds the vocabulary of byte_bpe_50k.json, which names the added tokens; the ids agree, which the tests
+    verify against `tokenizers`.
     """
     import public_tokenizers
 
+    with open(described or public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        specials = tuple((x["content"], x["id"]) for x in json.load(f)["added_tokens"])
     with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-        return f.read(), public_tokenizers.PATTERN
+        return f.read(), public_tokenizers.PATTERN, specials
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, ranks_path: str | None = None) -> DataFrame:
     """One row per piece of a document (SCHEMA).
 
-    A document is its token ids followed by id 1; null and empty texts are the lone id 1. Strings of special tokens in
-    a text are ordinary text. Documents longer than a window fill whole windows and only their rest is packed. Null
+    A document is its token ids followed by id 1; null and empty texts are the lone id 1. The string of a special
+    token in a text is that token's id. Documents longer than a window fill whole windows and only their rest is packed. Null
     keys stay null; repeated rows are packed as often as they come; an empty table gives no rows; extra columns are
     ignored. Every id lies in exactly one piece; no sequence needs padding, since the last tokens of each task are cut
     into sequences whose lengths are powers of two.
     """
     spark = ship_package(docs.sparkSession)
-    ranks, pattern = rank_file(ranks_path)
+    ranks, pattern, specials = rank_file(ranks_path)
     shared = spark.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(shared.value, pattern), np.array([END], "<u4").tobytes()
+        encode, end = encoder(shared.value, pattern, specials), np.array([END], "<u4").tobytes()
         packer = Packer(window, TaskContext.get().partitionId() << TASK_BITS)
         names = [x.split()[0] for x in SCHEMA.split(", ")]
 
