@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from foliant.llm.common import sql_words, staged
 
-#: Blocks of a source. A block cut by the budget is ordered in one task, so raise it with the size of a source.
-BLOCKS = 4096
+#: Blocks of a source, and bits of the hash that cuts the one block at which the budget ends into parts.
+BLOCKS, PART_BITS = 4096, 12
 #: Exponents tried at once in one round of the bisection, and rounds: 2 ** -30 of the interval is left.
 GRID, ROUNDS = 32, 6
 SEED = 17
@@ -104,49 +104,65 @@ def _place(row: Column, source: Column, epoch: Column) -> tuple[Column, Column]:
     return block, F.xxhash64(F.lit(SEED), source, epoch, block)
 
 
-def schedule(docs: DataFrame, target: Target = Target(), key: str = "doc_id", source: str = "source", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, plan). rows is docs with added columns __tokens, __copies and __weight; plan has one row per source.
+def _cut(parts: DataFrame, order: str) -> DataFrame:
+    """(source, cut, room) per source: the first part by order that no longer fits into room, and what room it meets.
 
-    Null sources are a source of their own; null and empty texts have no tokens and come as often as their block's pass
-    says. Equal keys share their place in the order. The last pass of a source stops before the first document that
-    would exceed its budget, so a source falls short of it by less than one document.
+    parts are (source, room, order, n); a source's parts are as few as the hashes that number them allow.
     """
+    summed = parts.groupBy("source", "room", order).agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy("source").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = summed.withColumn("upto", F.sum("n").over(upto)).where("upto > room")
+    first = over.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy(order))).where("k = 1")
+    return first.select("source", F.col(order).alias("cut"), (F.col("room") - F.col("upto") + F.col("n")).alias("room"))
+
+
+def _scheduled(docs: DataFrame, target: Target, key: str, source: str, text: str) -> tuple[DataFrame, DataFrame, float]:
+    """(rows, plan, exponent): rows are (row, id, source, tokens, copies, weight), row a struct of all columns of docs, so
+    that no name of theirs meets one of the plan's."""
     name = F.coalesce(F.col(source).cast("string"), F.lit("\x00null"))
-    rows = docs.withColumn("__source", name).withColumn("__tokens", tokens_of(F.col(text)))
-    counted = staged(rows.select(F.col(key).alias("id"), "__source", "__tokens"))
-    totals = counted.groupBy("__source").agg(F.sum("__tokens").alias("tokens"), F.count("*").alias("docs"))
-    totals = staged(totals)
-    r = totals.agg(F.sum("tokens").alias("t")).first()
-    total = int(r["t"] or 0)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).alias("id"), name.alias("source"), tokens_of(F.col(text)).alias("tokens"))
+    counted = staged(rows.select("id", "source", "tokens"))
+    totals = staged(counted.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")))
+    total = int(totals.agg(F.sum("tokens")).first()[0] or 0)
     budget = target.budget if target.budget is not None else total
-    shares = totals.where("tokens > 0").withColumn("p", F.col("tokens") / F.lit(float(max(total, 1))))
+    share = F.col("tokens") / F.lit(float(max(total, 1)))
+    shares = totals.where("tokens > 0").withColumn("p", share)
     t, budget = exponent(shares, target, total, budget) if total else (1.0, 0)
     z = shares.agg(F.sum(F.pow("p", F.lit(t)))).first()[0] or 1.0
-    weight = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(max(total, 1))), F.lit(t)) / F.lit(z)).otherwise(0.0)
-    plan = totals.withColumn("weight", weight).withColumn("want", F.floor(F.col("weight") * budget))
-    plan = plan.withColumn("passes", F.when(F.col("tokens") > 0, F.floor(F.col("want") / F.col("tokens"))).otherwise(1).cast("int"))
-    plan = plan.withColumn("left", F.when(F.col("tokens") > 0, F.col("want") - F.col("passes") * F.col("tokens")).otherwise(0))
-    # Where the last pass ends: prefix sums over the blocks of a source (BLOCKS rows at most), then over one block.
-    placed = counted.join(_small(plan.select("__source", "passes", "left")), "__source")
-    block, rank = _place(F.col("id"), F.col("__source"), F.col("passes"))
-    placed = placed.select("__source", "id", "__tokens", "left", rank.alias("rank"))
-    by_block = placed.groupBy("__source", "rank").agg(F.sum("__tokens").alias("n"), F.first("left").alias("left"))
-    upto = Window.partitionBy("__source").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = by_block.withColumn("upto", F.sum("n").over(upto)).where("upto > left").withColumn("k", F.row_number().over(Window.partitionBy("__source").orderBy("rank"))).where("k = 1")
-    cut = staged(cut.select("__source", F.col("rank").alias("cut_rank"), (F.col("left") - F.col("upto") + F.col("n")).alias("room")))
-    inside = placed.join(_small(cut), "__source").where("rank = cut_rank").withColumn("order", F.xxhash64(F.lit(SEED + 1), "id"))
-    by_order = inside.groupBy("__source", "room", "order").agg(F.sum("__tokens").alias("n"))
-    running = Window.partitionBy("__source").orderBy("order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stop = by_order.withColumn("upto", F.sum("n").over(running)).where("upto > room").groupBy("__source").agg(F.min("order").alias("stop_order"))
-    plan = staged(plan.join(cut.select("__source", "cut_rank"), "__source", "left").join(stop, "__source", "left"))
-    few = _small(plan.select("__source", "passes", "weight", "cut_rank", "stop_order"))
-    joined = rows.join(few, "__source", "left")
-    _, rank = _place(F.col(key), F.col("__source"), F.col("passes"))
-    order = F.xxhash64(F.lit(SEED + 1), F.col(key))
+    some = F.col("tokens") > 0
+    plan = totals.withColumn("weight", F.when(some, F.pow(share, F.lit(t)) / F.lit(z)).otherwise(0.0)).withColumn("want", F.floor(F.col("weight") * budget))
+    plan = plan.withColumn("passes", F.when(some, F.floor(F.col("want") / F.col("tokens"))).otherwise(1).cast("int"))
+    plan = plan.withColumn("left", F.when(some, F.col("want") - F.col("passes") * F.col("tokens")).otherwise(0))
+    # Where the last pass ends: in a block, in one of the parts that a hash cuts the block into, at a document there.
+    # No window sees more than BLOCKS or 2 ** PART_BITS rows of a source, or a block's part of its documents.
+    places = counted.join(_small(plan.select("source", "passes", F.col("left").alias("room"))), "source")
+    _, rank = _place(F.col("id"), F.col("source"), F.col("passes"))
+    order = F.xxhash64(F.lit(SEED + 1), F.col("id"))
+    places = places.select("source", "room", F.col("tokens").alias("n"), rank.alias("rank"), order.alias("order"), F.shiftright(order, 64 - PART_BITS).alias("part"))
+    block = staged(_cut(places, "rank"))
+    inside = places.drop("room").join(_small(block), "source").where("rank = cut").drop("cut")
+    part = staged(_cut(inside, "part"))
+    inside = inside.drop("room").join(_small(part), "source").where("part = cut").drop("cut")
+    stop = _cut(inside, "order")
+    ends = block.select("source", F.col("cut").alias("cut_rank")).join(stop.select("source", F.col("cut").alias("stop_order")), "source", "left")
+    plan = staged(plan.join(ends, "source", "left"))
+    joined = rows.join(_small(plan.select("source", "passes", "weight", "cut_rank", "stop_order")), "source", "left")
     last = F.when(F.col("cut_rank").isNull(), F.lit(False)).otherwise((rank < F.col("cut_rank")) | ((rank == F.col("cut_rank")) & (order < F.col("stop_order"))))
-    copies = (F.col("passes") + last.cast("int")).alias("__copies")
-    out = joined.select(*docs.columns, "__tokens", copies, F.col("weight").alias("__weight"), "__source")
-    return out, plan.withColumn("exponent", F.lit(t))
+    out = joined.select("row", "id", "source", "tokens", (F.col("passes") + last.cast("int")).alias("copies"), "weight")
+    return out, plan, t
+
+
+def schedule(docs: DataFrame, target: Target = Target(), key: str = "doc_id", source: str = "source", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(rows, plan). rows is docs with added columns __tokens, __copies, __weight and __source; plan has one row per source.
+
+    Null sources are a source of their own; null and empty texts have no tokens and come as often as their block's pass
+    says. Equal keys share their place in the order. The last pass of a source stops before the first document that
+    would exceed its budget, so a source falls short of it by less than one document. docs must not have columns of the
+    added names.
+    """
+    rows, plan, t = _scheduled(docs, target, key, source, text)
+    added = [F.col(c).alias(f"__{c}") for c in ("tokens", "copies", "weight", "source")]
+    return rows.select("row.*", *added), plan.withColumnRenamed("source", "__source").withColumn("exponent", F.lit(t))
 
 
 def _small(plan: DataFrame) -> DataFrame:
@@ -161,15 +177,17 @@ def mixture(docs: DataFrame, target: Target = Target(), key: str = "doc_id", sou
     its source's passes at which its turn comes, so that any stretch holds the sources by their weights. Documents that
     the budget leaves out do not appear. An empty table gives no rows; extra columns of docs are ignored.
     """
-    chosen = docs.select(F.col(key), F.col(source), F.col(text))
-    rows, _ = schedule(chosen, target, key, source, text)
-    each = rows.where("__copies > 0").select(key, source, "__source", "__tokens", "__weight", "__copies", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("epoch"))
-    block, rank = _place(F.col(key), F.col("__source"), F.col("epoch"))
-    position = (F.col("epoch") + (rank.cast("double") / F.lit(2.0**64) + 0.5)) / F.col("__copies")
-    return each.select(key, F.col(source).alias("source"), F.col("__tokens").alias("n_tokens"), F.round("__weight", 9).alias("weight"), "epoch", block.cast("int").alias("block"), position.alias("position"))
+    rows, _, _ = _scheduled(docs.select(F.col(key), F.col(source), F.col(text)), target, key, source, text)
+    each = rows.where("copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    block, rank = _place(F.col("id"), F.col("source"), F.col("epoch"))
+    position = (F.col("epoch") + (rank.cast("double") / F.lit(2.0**64) + 0.5)) / F.col("copies")
+    return each.select(F.col("id").alias(key), F.col(f"row.`{source}`").alias("source"), F.col("tokens").alias("n_tokens"), F.round("weight", 9).alias("weight"), "epoch", block.cast("int").alias("block"), position.alias("position"))
 
 
 def mixed(docs: DataFrame, target: Target = Target(), key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """docs with every row as often as the mixture has it, the columns as they were."""
-    rows, _ = schedule(docs, target, key, source, text)
-    return rows.where("__copies > 0").withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """docs with every row as often as the mixture has it, the columns as they were, whatever their names.
+
+    Nulls, ties and repeated rows are treated as in schedule; an empty table stays empty.
+    """
+    rows, _, _ = _scheduled(docs, target, key, source, text)
+    return rows.where("copies > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
