@@ -80,19 +80,25 @@ def rule_of(host: Column, path: Column) -> Column:
     return chain
 
 
-def _number_of(name: str, text: Column, n: int):
-    """The lambda from a position to the feature number of the n-gram there."""
-    return lambda i: F.pmod(F.xxhash64(F.lit(name), F.substring(text, i, F.lit(n))), F.lit(DIMENSIONS)).cast("int") + 1
+def _numbers_of(name: str, n: int):
+    """The lambda from a text's characters to the feature numbers of its n-grams."""
+
+    def numbers(a: Column) -> Column:
+        one = lambda i: F.pmod(F.xxhash64(F.lit(name), *(F.get(a, i + k) for k in range(n))), F.lit(DIMENSIONS)).cast("int") + 1
+        return F.when(F.size(a) >= n, F.transform(F.sequence(F.lit(0), F.size(a) - n), one)).otherwise(F.array().cast("array<int>"))
+
+    return numbers
 
 
 def grams(host: Column, path: Column) -> Column:
-    """Feature numbers 1 to DIMENSIONS of all n-grams of ^host$ and of the path, each distinct one once."""
+    """Feature numbers 1 to DIMENSIONS of all n-grams of ^host$ and of the path, each distinct one once.
+
+    A text is split into its characters once for each n, so the work grows with its length and not with its square.
+    """
     parts = []
     for name, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.concat(path, F.lit("$")))):
-        for n in SIZES:
-            starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-            found = F.transform(starts, _number_of(name, text, n))
-            parts.append(F.when(F.length(text) >= n, found).otherwise(F.array().cast("array<int>")))
+        # The characters are bound by a one-element array, else each look-up would split the text again.
+        parts += [F.element_at(F.transform(F.array(F.split(text, "")), _numbers_of(name, n)), 1) for n in SIZES]
     return F.array_distinct(F.concat(*parts))
 
 
