@@ -6,23 +6,25 @@ n-grams of length 5, then 4, and so on to 1: the first length at which any of it
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import bucket_of, sql_words
+from foliant.llm.common import bucket_of, checked, discard, sql_words, staged
 from foliant.session import ship_package
 
 #: Folds of crc32(doc_id); fold 0 is held out.
 FOLDS = 5
-#: Documents, expected, that the model is fitted on; a hash of the id chooses them. Raise it for more languages.
-TRAIN_DOCS = 20_000
-#: Commonest words that the model keeps.
-VOCABULARY = 60_000
+#: Labelled documents of each language, expected, that the model is fitted on; a hash of the id chooses them.
+TRAIN_DOCS = 5_000
+#: Commonest words of each language, and n-grams of each language and length, that the model keeps. They are chosen when
+#: all of the training documents have been counted.
+VOCABULARY, GRAMS = 15_000, 10_000
 LONGEST = 5
 #: Weight of one word's fallback score against that of a known word.
 BACKOFF = 0.4
@@ -54,24 +56,23 @@ class Model:
     ngrams: list[dict[str, list[float]]] = field(default_factory=list)
 
     @classmethod
-    def fit(cls, counts: list[tuple[str, str, int]]) -> Model:
-        """From (word, lang, n). Frequencies are smoothed by one half; n-grams weigh each distinct word by log(1 + n)."""
-        langs = sorted({lang for _, lang, _ in counts})
+    def fit(cls, counts: list[tuple[str, str, int]], grams_of: list[tuple[int, str, str, float]] | None = None, langs: list[str] | None = None) -> Model:
+        """From words (word, lang, n) and n-grams (length, gram, lang, weight), which without a list are those of the words.
+
+        Frequencies are smoothed by one half; n-grams weigh each distinct word by log(1 + n) and need more than 1 in all.
+        """
+        langs = sorted(langs if langs is not None else {lang for _, lang, _ in counts})
         at = {lang: i for i, lang in enumerate(langs)}
         by_word: dict[str, np.ndarray] = {}
         for word, lang, n in counts:
             word = core(word)
             if word:
                 by_word.setdefault(word, np.zeros(len(langs)))[at[lang]] += n
+        if grams_of is None:
+            grams_of = [(size, gram, lang, math.log1p(n[at[lang]])) for word, n in by_word.items() for size in range(1, LONGEST + 1) for gram in set(grams(word, size)) for lang in langs]
         by_gram: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-        for word, n in by_word.items():
-            weight = np.log1p(n)
-            for size in range(1, LONGEST + 1):
-                for gram in set(grams(word, size)):
-                    if gram in by_gram[size]:
-                        by_gram[size][gram] += weight
-                    else:
-                        by_gram[size][gram] = weight.copy()
+        for size, gram, lang, weight in grams_of:
+            by_gram[size].setdefault(gram, np.zeros(len(langs)))[at[lang]] += weight
         return cls(langs, cls.logs(by_word), [cls.logs({g: v for g, v in level.items() if v.sum() > 1}) for level in by_gram])
 
     @staticmethod
@@ -144,14 +145,42 @@ class Scorer:
         return self.model.langs[best], float(e[best] / e.sum())
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS) -> Model:
-    """Word counts per language over about train_docs documents of the training folds, cut to the commonest words."""
-    labelled = docs.where((bucket_of(key, FOLDS) > 0) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, F.col(text).alias("text"), F.col(lang).alias("lang"))
-    share = min(1.0, train_docs / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000)) < int(share * 1_000_000))
-    counts = sample.select("lang", F.explode(sql_words(F.lower(F.col("text")))).alias("word")).where(F.length("word") <= 40).groupBy("word", "lang").count()
-    top = counts.orderBy(F.desc("count"), "word", "lang").limit(VOCABULARY)
-    return Model.fit([(r["word"], r["lang"], r["count"]) for r in top.collect()])
+def _commonest(counts: DataFrame, item: list[str], by: list[str], weight: str, most: int) -> DataFrame:
+    """All rows of the items that are among the most of some group; ties by name. counts is (item..., lang, weight)."""
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(weight), *item)))
+    kept = ranked.where(F.col("rank") <= most).select(*item).distinct()
+    return counts.join(checked(kept), item, "left_semi")
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, vocabulary: int = VOCABULARY, most_grams: int = GRAMS) -> Model:
+    """Words and n-grams per language over about train_docs documents of each language in the training folds.
+
+    Every language that has a document there is one of the answers. Words are counted whole, however long. Null texts,
+    null languages and null keys are left out; repeated rows count as often as they come; no labelled documents give a
+    model that answers `und`.
+    """
+    labelled = docs.where((bucket_of(key, FOLDS) > 0) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    sizes = staged(labelled.groupBy("lang").agg((F.lit(1_000_000 * train_docs) / F.count("*")).alias("share")))
+    sample = labelled.join(checked(sizes), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("share"))
+    plain = F.regexp_replace("word", r"^[^\p{L}]+|[^\p{L}]+$", "")
+    words = sample.select("lang", F.explode(sql_words(F.lower(F.col("text")))).alias("word")).groupBy("word", "lang").agg(F.count("*").alias("n"))
+    words = staged(words.select(plain.alias("word"), "lang", "n").where("word <> ''").groupBy("word", "lang").agg(F.sum("n").alias("n")))
+    marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
+    # The characters of a word once per length; look-ups in a string would walk it anew for each n-gram.
+    lists = [F.element_at(F.transform(F.array(F.split(marked, "")), _grams_of(size)), 1) for size in range(1, LONGEST + 1)]
+    each = words.select("lang", F.log1p("n").alias("weight"), F.explode(F.concat(*lists)).alias("gram"))
+    by_gram = staged(each.groupBy("gram", "lang").agg(F.sum("weight").alias("weight")).withColumn("size", F.length("gram")))
+    kept_words = _commonest(words, ["word"], ["lang"], "n", vocabulary).collect()
+    kept_grams = _commonest(by_gram, ["gram"], ["lang", "size"], "weight", most_grams).collect()
+    langs = [r["lang"] for r in sizes.select("lang").collect()]
+    for table in (sizes, words, by_gram):
+        discard(table)
+    return Model.fit([(r["word"], r["lang"], r["n"]) for r in kept_words], [(r["size"], r["gram"], r["lang"], r["weight"]) for r in kept_grams], langs)
+
+
+def _grams_of(size: int):
+    """The lambda from a marked word's characters to its distinct n-grams of a length."""
+    return lambda a: F.when(F.size(a) >= size, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(a) - size), lambda i: F.concat(*(F.get(a, i + k) for k in range(size)))))).otherwise(F.array().cast("array<string>"))
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,7 +191,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     repeated; an empty table gives no rows; extra columns are ignored.
     """
     spark = ship_package(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)  # bounded by VOCABULARY
+    shared = spark.sparkContext.broadcast(model)  # bounded by VOCABULARY and GRAMS per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
