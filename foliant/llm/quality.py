@@ -22,8 +22,10 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 ROUNDS = 40
 KEEP = 0.5
-#: Most that a rule may be taken to reject good documents, and least that it finds documents bad in its own way.
-FALSE_ALARM, DETECTS = 0.01, 0.7
+#: Prior belief in how often a rule rejects documents that aren't bad in its own way, and finds those that are.
+FALSE_ALARM, DETECTS = 0.01, 0.9
+#: Weight of that belief, in votes as a share of the documents, and in votes at least.
+BELIEF, LEAST_BELIEF = 0.01, 10.0
 
 
 def occurrences(text: Column, characters: str) -> Column:
@@ -87,8 +89,6 @@ def _vote(bad: Column, good: Column) -> Column:
     return F.when(bad, 0).when(good, 1).otherwise(2)
 
 
-
-
 def rules() -> dict[str, Column]:
     """Each rule votes 0 (bad), 1 (good) or 2 (abstains), by whole-number comparisons of the counts."""
     c = F.col
@@ -108,17 +108,20 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
     """EM over (votes, number of documents): shares of the classes and, per class and rule, P(bad vote | class, it votes).
 
     Class 0 is good; class 1 + r is bad in the way that rule r looks for, since bad documents of one kind pass the rules
-    for another. Abstaining says nothing. Counts are smoothed by one document per vote. What a vote means is held: a good
-    document gets a bad vote from a rule at most FALSE_ALARM of the time, class 1 + r one from rule r at least DETECTS.
+    for another. Abstaining says nothing. The accuracies are free: a weak belief, as many made votes as BELIEF says, tells
+    the classes apart at the start and what the documents say outweighs it. It grows with the documents, so that a corpus
+    of any size gives the same estimates. Shares are smoothed by one document.
     """
     n = len(patterns[0][0]) if patterns else 0
-    shares = [1 - 0.02 * n] + [0.02] * n
-    table = [[0.01] * n for _ in range(n + 1)]
+    votes_made = max(LEAST_BELIEF, BELIEF * sum(count for _, count in patterns))
+    believed = [[FALSE_ALARM] * n for _ in range(n + 1)]
     for r in range(n):
-        table[1 + r][r] = 0.9
+        believed[1 + r][r] = DETECTS
+    shares, table = [1 - 0.02 * n] + [0.02] * n, believed
     for _ in range(rounds if patterns else 0):
         mass = [1.0] * (n + 1)
-        bad, cast = ([[x] * n for _ in range(n + 1)] for x in (1.0, 2.0))
+        bad = [[p * votes_made for p in row] for row in believed]
+        cast = [[votes_made] * n for _ in believed]
         for votes, count in patterns:
             for k, p in enumerate(posteriors(votes, shares, table)):
                 mass[k] += p * count
@@ -128,9 +131,6 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
                         bad[k][r] += p * count * (1 - v)
         shares = [m / sum(mass) for m in mass]
         table = [[x / y for x, y in zip(*row, strict=True)] for row in zip(bad, cast, strict=True)]
-        for r in range(n):
-            table[0][r] = min(FALSE_ALARM, table[0][r])
-            table[1 + r][r] = max(DETECTS, table[1 + r][r])
     return shares, table
 
 
