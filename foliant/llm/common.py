@@ -114,6 +114,6 @@ def checked(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
-def with_ids(df: DataFrame, ids: DataFrame, kind: str) -> DataFrame:
+def with_ids(df: DataFrame, ids: DataFrame, kind: str, on: str | list[str] = "id") -> DataFrame:
     """df with (left_semi) or without (left_anti) the ids; a list too long to broadcast is joined by a shuffle."""
-    return df.join(checked(ids), "id", kind)
+    return df.join(checked(ids), on, kind)

@@ -1,18 +1,21 @@
 """MinHash near-dedup with HyperMinHash registers (operator 2).
 
-Every document becomes a set of hashed word shingles, of SHINGLE words unless the caller says otherwise. Documents with equal sets form a class; only its smallest
-document goes on. A sketch has REGISTERS buckets. A bucket's minimum is stored as a leading-zero count and a few
+Every document becomes a set of hashed word shingles, of SHINGLE words unless the caller says otherwise. Documents with
+equal sets form a class; only its smallest document goes on. A sketch has REGISTERS buckets. A bucket's minimum is stored as a leading-zero count and a few
 mantissa bits behind the leading one, two bytes in all. Bands of registers give candidates; the estimated Jaccard
 similarity of two sketches, corrected for registers that agree by chance, drops most false ones; the rest are
 confirmed on whole shingle sets.
 
 Buckets take their minima under hash functions of their own rather than from a partition of one hash: short texts
-would leave most buckets of a partition empty, and a band of empty buckets says nothing.
-
-Candidates within a bucket of a band are the pairs with its smallest member, then, over documents that are not yet
-in one component, the pairs of a bucket's members, which are compared block by block inside a task and come out as
-links only. So a bucket of near copies costs a row per member, and nothing is dropped where a bucket holds texts that
-are alike but no links.
+would leave most buckets of a partition empty, and a band of empty buckets says nothing. What makes the sketch a
+HyperMinHash is the register, a leading-zero count and a few mantissa bits, and the correction for registers that agree
+by chance; both are the same whether the buckets' hashes are parts of one function or functions of their own.
+
+Candidates within a bucket of a band are the pairs with its smallest member, then the pairs that lie in different
+components so far. Those have a member outside the bucket's largest component; such members are compared with all
+others block by block inside a task, and come out as links only. So a bucket of near copies costs a row per member, and
+nothing is dropped where a bucket holds texts that are alike but no links. A bucket of S members of which M are outside
+the largest component sends S * M * (1 / MINORS + 1 / OTHERS) rows at most.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import checked, staged, with_ids, word_list
+from foliant.llm.common import checked, free_name, made, staged, sweep, with_ids, word_list
 from foliant.llm.components import components
 from foliant.session import ship_package
 
@@ -39,8 +42,10 @@ REGISTERS = ROWS * BANDS
 MANTISSA = 10
 #: Estimated similarity below which a candidate pair isn't verified: five standard errors under 0.8 for 128 registers.
 ESTIMATE = 0.62
-#: Members of a bucket that one block holds.
-BLOCK = 1024
+#: Members of a bucket that one block holds: those outside its largest component, and all that they are compared with.
+MINORS, OTHERS = 512, 1024
+#: Pairs of one document that a task should have; a document with more is dealt to several.
+HUB = 1000
 MEMO = 100_000
 #: Shingles hashed at once, so that the products stay in the cache.
 CHUNK = 256
@@ -151,21 +156,27 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketches(docs: DataFrame, key: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, n, digest, sketch) per row of docs; digest identifies the set, both are null for an empty one."""
+    """(id, tag, n, digest, sketch) per row of docs; tag is a hash of the text, digest identifies the set, and the last two
+    are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, work = WordHash(), np.empty((REGISTERS, CHUNK), np.uint64)
         for batch in batches:
             n, digest, sketch = [], [], []
-            for x in batch.column(1):
+            for x in batch.column(2):
                 s = shingles(x.as_py(), hashes, shingle)
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sketch.append(registers(s, work).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())], ["id", "n", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())], ["id", "tag", "n", "digest", "sketch"])
 
     ship_package(docs.sparkSession)
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text)).mapInArrow(run, "id long, n long, digest binary, sketch binary")
+    return _texts(docs, key, text).select("id", "tag", "text").mapInArrow(run, "id long, tag long, n long, digest binary, sketch binary")
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, tag, text) of docs."""
+    return docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("tag"), F.col(text).alias("text"))
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -184,10 +195,23 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select("id", "sketch").mapInArrow(run, "band long, id long")
 
 
-def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sketches are estimated to be similar enough to be verified."""
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) with a number salt, so that no (b, salt) has many more than HUB pairs."""
+    hubs = staged(pairs.groupBy("b").count().where(F.col("count") > HUB).select("b", F.ceil(F.col("count") / HUB).cast("int").alias("splits")))
+    return pairs.join(checked(hubs), "b", "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("a"), F.col("splits")), F.lit(0)).cast("int").alias("salt"), F.coalesce("splits", F.lit(1)).alias("splits"))
+
+
+def _hubs(dealt: DataFrame) -> DataFrame:
+    """(b, salt) of dealt pairs, each once."""
+    each = dealt.groupBy("b").agg(F.max("splits").alias("splits"))
+    return each.select("b", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("salt"))
+
+
+def likely(dealt: DataFrame, classes: DataFrame) -> DataFrame:
+    """The dealt pairs whose sketches are estimated to be similar enough to be verified."""
     side = classes.select("id", "n", "sketch")
-    both = pairs.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a").join(side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+    hubs = _hubs(dealt).join(side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+    both = dealt.join(side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a").join(hubs, ["b", "salt"])
     # Sizes alone already bound the similarity.
     both = both.where((F.least("na", "nb") * 100) >= (F.greatest("na", "nb") * PERCENT))
 
@@ -195,49 +219,51 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, REGISTERS) for i in (2, 3))
-            n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
-            yield batch.select([0, 1]).filter(pa.array(estimate(a, b, n, m) >= ESTIMATE))
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, REGISTERS) for i in (4, 5))
+            n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (6, 7))
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(estimate(a, b, n, m) >= ESTIMATE))
 
-    return both.select("a", "b", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "salt", "splits", "sa", "sb", "na", "nb").mapInArrow(run, "a long, b long, salt int, splits int")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) that are links on the whole shingle sets of texts (id, text)."""
-    side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias("t" + x))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+def confirmed(dealt: DataFrame, texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The dealt pairs that are links on the whole shingle sets of texts (id, text), as (a, b).
+
+    Each text of b goes once to each of its tasks, ahead of the texts that it is compared with.
+    """
+    first = _hubs(dealt).join(texts, F.col("b") == F.col("id")).select("b", "salt", F.lit(True).alias("lead"), F.col("b").alias("a"), "text")
+    rest = dealt.join(texts, F.col("a") == F.col("id")).select("b", "salt", F.lit(False).alias("lead"), "a", "text")
+    lined = first.unionByName(rest).repartition("b", "salt").sortWithinPartitions("b", "salt", F.desc("lead"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
-        last: tuple = (None, None)
+        hashes, hub, own = WordHash(), None, np.empty(0, np.uint64)
         for batch in batches:
             keep = []
-            for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if b != last[0]:
-                    last = (b, shingles(tb.as_py(), hashes, shingle))
-                keep.append(linked(shingles(ta.as_py(), hashes, shingle), last[1]))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for b, lead, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(4), strict=True):
+                found = shingles(text.as_py(), hashes, shingle)
+                if lead:
+                    hub, own = b, found
+                keep.append(not lead and b == hub and linked(found, own))
+            yield batch.select([3, 0]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return lined.mapInArrow(run, "a long, b long")
 
 
 def _facing(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     """Of one pair of blocks of a bucket: (i, others) for the rows that are to be compared here.
 
     Two members are compared if they lie in different components so far, if their sizes and sketches allow a link, and in
-    the first band only that they share, so each pair comes up once over all buckets.
+    the first band only that they share, so each pair comes up once over all buckets. Two members that are both outside
+    the largest component meet twice; the one time counts when the larger id leads.
     """
     rows = np.frombuffer(b"".join(group["sketch"].to_pylist()), "<u2").reshape(-1, REGISTERS)
-    component, n, block = (group[c].to_numpy() for c in ("component", "n", "block"))
+    component, n, ids, lead, minor = (group[c].to_numpy() for c in ("component", "n", "id", "lead", "minor"))
     keys = np.array([band_keys(r) for r in rows])
     here = int(np.argmax(keys[0] == group["band"][0].as_py()))
-    x, y = group["x"][0].as_py(), group["y"][0].as_py()
-    left = np.flatnonzero(block == x)
-    right = np.flatnonzero(block == y)
-    for i in left:
-        hit = right[(component[right] != component[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * PERCENT)]
-        if x == y:
-            hit = hit[hit > i]
+    others = np.flatnonzero(~lead)
+    for i in np.flatnonzero(lead):
+        hit = others[(component[others] != component[i]) & (np.minimum(n[others], n[i]) * 100 >= np.maximum(n[others], n[i]) * PERCENT)]
+        hit = hit[~minor[hit] | (ids[hit] < ids[i])]
         hit = hit[(keys[hit] == keys[i]).argmax(axis=1) == here]
         if len(hit):
             hit = hit[estimate(rows[hit], rows[i], n[hit], n[i]) >= ESTIMATE]
@@ -245,22 +271,26 @@ def _facing(group: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
             yield i, hit
 
 
-_OPEN = "band long, x int, y int, block int, id long, component long, n long, sketch binary"
+_OPEN = "band long, x int, y int, lead boolean, minor boolean, id long, component long, n long, sketch binary"
 
 
 def open_members(buckets: DataFrame, part: DataFrame, classes: DataFrame) -> DataFrame:
     """(_OPEN) members of buckets of several components that may have a link to another component in their bucket.
 
-    A bucket's members are dealt into blocks of about BLOCK by a hash of the id, and each pair of blocks is one group,
-    compared as matrices of registers. What comes out are members, never pairs.
+    Members outside a bucket's largest component lead in blocks of about MINORS, and each such block meets all members in
+    blocks of about OTHERS; each pair of blocks is one group, compared as matrices of registers. What comes out are
+    members, never pairs.
     """
     members = buckets.join(part.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    spread = members.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    held = members.join(spread, "band").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # Block i meets every block j: as the left side for j >= i and as the right side for j <= i.
-    dealt = held.select("band", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component")
-    dealt = dealt.join(classes.select("id", "n", "sketch"), "id").select(*(c.split()[0] for c in _OPEN.split(", ")))
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n")).groupBy("band")
+    spread = sizes.agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("minors")).where("minors > 0")
+    spread = staged(spread.select("band", "main", F.ceil(F.col("minors") / MINORS).cast("int").alias("xs"), F.ceil(F.col("all") / OTHERS).cast("int").alias("ys")))
+    held = members.join(checked(spread), "band").withColumn("minor", F.col("component") != F.col("main"))
+    held = held.withColumn("x", F.pmod(F.xxhash64("id"), F.col("xs")).cast("int")).withColumn("y", F.pmod(F.xxhash64("id", F.lit(1)), F.col("ys")).cast("int"))
+    leading = held.where("minor").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("ys") - 1))).withColumn("lead", F.lit(True))
+    others = held.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("xs") - 1))).withColumn("lead", F.lit(False))
+    columns = [c.split()[0] for c in _OPEN.split(", ")]
+    dealt = leading.unionByName(others).join(classes.select("id", "n", "sketch"), "id").select(*columns)
 
     def run(group: pa.Table) -> pa.Table:
         wanted = np.zeros(group.num_rows, bool)
@@ -308,27 +338,34 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
 
     A-Z is lower-cased; a link needs 100 * intersection >= 80 * union of the whole shingle sets. Texts without words have
     no shingles, link with nothing and are kept. component_id is the smallest key reachable by links, the own one
-    included. Rows that repeat a key are one document in several rows; if their texts
-    differ, one of them counts. Rows with a null key link with nothing: their
+    included. Rows that repeat a key are one document in several rows, all with its
+    component; if their texts differ, that of the least digest of its set counts for links. Rows with a null key link with nothing: their
     component_id is null and they are kept. An empty table gives no rows; extra columns are ignored.
 
     A link of similarity exactly 0.8 shares none of the bands with probability (1 - 0.8 ** 4) ** 32 = 5e-8, and is
     estimated below ESTIMATE with about 1e-6; nothing else is left to chance.
     """
+    start = made()
+    spark = docs.sparkSession
     per_doc = staged(sketches(docs, key, text, shingle))
     real = per_doc.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
+    texts = _texts(docs, key, text)
+    repeated = staged(real.groupBy("id").agg(F.min(F.struct("digest", "tag")).alias("own"), F.count("*").alias("rows")).where("rows > 1").select("id", "own"))
+    if not repeated.isEmpty():
+        # One row of each repeated key goes on, and the text of that row.
+        own = checked(repeated)
+        single = lambda df, equal: df.join(own.select("id"), "id", "left_anti").unionByName(df.join(own, "id").where(equal).drop("own").dropDuplicates(["id"]))
+        real = single(real, (F.col("digest") == F.col("own.digest")) & (F.col("tag") == F.col("own.tag")))
+        texts = single(texts, F.col("tag") == F.col("own.tag"))
+    texts = texts.select("id", "text")
     # The smallest document of each class of equal sets stands for it.
     heads = real.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("size"))
     several = staged(heads.where("size > 1").select("digest", F.col("id").alias("head")))
-    member = staged(real.select("id", "digest").join(several, "digest").where("id <> head").select("id", "head").distinct())
-    classes = real.join(member, "id", "left_anti").dropDuplicates(["id"]).select("id", "n", "sketch")
-    classes = staged(classes)
+    member = staged(real.select("id", "digest").join(several, "digest").where("id <> head").select("id", "head"))
+    classes = staged(real.join(member, "id", "left_anti").select("id", "n", "sketch"))
     in_bands = bands(classes)
     shared = in_bands.groupBy("band").agg(F.min("id").alias("low"), F.count("*").alias("size")).where("size > 1")
     buckets = staged(in_bands.join(shared.select("band", "low"), "band"))
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    if not real.groupBy("id").count().where("count > 1").isEmpty():
-        texts = texts.dropDuplicates(["id"])  # moves all texts, so it isn't done where no key repeats
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs)
@@ -336,13 +373,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
         return staged(confirmed(pairs, with_ids(texts, wanted, "left_semi"), shingle))
 
     stars = buckets.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    links = verify(likely(stars, classes))
+    links = verify(likely(_dealt(staged(stars)), classes))
     part = staged(components(links))
     members = staged(open_members(buckets.select("band", "id"), part, classes))
     wanted = staged(members.select("id").distinct())
     more = staged(open_links(members, with_ids(texts, wanted, "left_semi"), shingle))
     if not more.isEmpty():
         part = staged(components(links.unionByName(more)))
+    sweep(spark, start, per_doc, member, part)
     headed = part.select(F.col("node").alias("head"), "component")
     of_members = member.join(headed, "head", "left").select("id", F.coalesce("component", "head").alias("component"))
     of_heads = part.join(member, part.node == member.id, "left_anti").select(F.col("node").alias("id"), "component")
@@ -353,6 +391,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """docs with the smallest key of each component, all columns kept; only the list of dropped keys moves."""
-    dropped = near_groups(docs, key, text, shingle).where(~F.col("kept")).select(F.col(key).alias("__id")).distinct()
-    return docs.join(checked(staged(dropped)), docs[key].cast("long") == F.col("__id"), "left_anti")
+    """docs with the smallest key of each component, all columns kept, whatever their names; only the list of dropped keys
+    moves. Rows without words or key stay; rows that repeat a kept key stay as often as they come."""
+    name = free_name("dropped", docs.columns)
+    dropped = near_groups(docs, key, text, shingle).where(~F.col("kept")).select(F.col(key).alias(name)).distinct()
+    return docs.join(checked(staged(dropped)), F.col(f"`{key}`").cast("long") == F.col(name), "left_anti")

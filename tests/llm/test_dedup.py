@@ -168,3 +168,59 @@ def test_repeats_on_awkward_rows(awkward, nothing):
     assert len(got) == 13 and substrings.remove_repeats(nothing).count() == 0
     by = {i: (n, gone, spans) for i, n, gone, spans, _ in got}
     assert by[3] == (0, 0, 0) and by[2] == (30, 0, 0) and by[7][0] - by[7][1] == 3 and by[7][2] == 1 and by[None][1] == 0
+
+
+def test_repeats_of_a_key_with_several_texts(spark):
+    a, b, c = "A quick brown fox " * 5, "bbbb" * 10 + "some passage that is shared by two documents and is long enough", "some passage that is shared by two documents and is long enough" + "ccc" * 9
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (2, "short"), (None, a), (4, b[:45])]
+    got = sorted(tuple(r)[:4] for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r[0] is not None)
+    shared = len("some passage that is shared by two documents and is long enough")
+    assert got == sorted([(1, 90, 0, 0), (2, 90, 90, 1), (2, 103, 0, 0), (2, 103, 0, 0), (3, len(c), shared, 1), (2, 5, 0, 0), (4, 45, 0, 0)])
+
+
+def test_near_groups_with_small_blocks(spark, docs, monkeypatch):
+    for name, value in (("HUB", 2), ("MINORS", 2), ("OTHERS", 3)):
+        monkeypatch.setattr(near, name, value)
+    random.seed(5)
+    base = [f"w{i}" for i in range(80)]
+    texts = {i: " ".join(random.choice(["x", "y", w]) if random.random() < p else w for w in base) for i, p in enumerate([0.03] * 25 + [0.15] * 25)}
+    assert {r[0]: tuple(r)[1:] for r in near.near_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()} == links_of(texts)
+
+
+def test_near_links_just_above_the_limit(spark):
+    random.seed(9)
+    rows, wanted = [], 0
+    for i in range(400):  # pairs of similarity between 0.80 and 0.82
+        words = [f"{i}v{j}" for j in range(random.randint(150, 300))]
+        other = list(words)
+        while True:
+            other[random.randrange(len(other))] = f"{i}z{random.random()}"
+            both = len(set(zip(words, words[1:], strict=False)) & set(zip(other, other[1:], strict=False)))
+            union = 2 * (len(words) - 1) - both
+            if 100 * both < 82 * union:
+                break
+        if 100 * both >= 80 * union:
+            wanted += 1
+            rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    got = near.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).where("not kept").count()
+    assert wanted > 200 and got == wanted
+
+
+def test_near_groups_of_a_key_with_several_texts(spark):
+    one, other, third = "a b c d e f g h i j", "q r s t u v w x y z", "k l m n o p"
+    df = spark.createDataFrame([(5, one), (5, other), (5, other), (1, one), (2, other), (3, third), (3, None), (None, one)], "doc_id long, text string")
+    first = {tuple(r) for r in near.near_groups(df).collect()}
+    assert first == {tuple(r) for r in near.near_groups(df.orderBy("text").repartition(3)).collect()}
+    components_of = {c for i, _, c, _ in first if i == 5}
+    assert len(components_of) == 1 and components_of < {1, 2} and {(3, 5, 3, True), (3, 0, 3, True), (None, 9, None, True)} <= first
+
+
+def test_stages_keep_columns_of_every_name(spark):
+    names = "doc_id text id sha sha_ rank rank_ digest dropped n_ __id __sha __n kept keep_id text_sha256 group_size component tag".split()
+    rows = [(i, t, *([str(k) for k in range(17)])) for i, t in ((1, "same words here"), (2, "same words here"), (2, "same words here"), (3, None), (4, ""))]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    for keep in (exact.without_copies, near.without_near_copies):
+        got = keep(df)
+        assert got.columns == names and {r["rank_"] for r in got.collect()} == {"4"}
+    assert sorted(r["doc_id"] for r in exact.without_copies(df).collect()) == [2, 4]
+    assert sorted(r["doc_id"] for r in near.without_near_copies(df).collect()) == [1, 3, 4]
