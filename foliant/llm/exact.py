@@ -14,11 +14,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import checked, staged
+from foliant.llm.common import checked, free_name, made, staged, sweep
 from foliant.session import ship_package
 
-#: Counters of a Misra-Gries summary: digests with more than 1 / (HOT_COUNTERS + 1) of all rows are surely found.
-HOT_COUNTERS = 255
+#: Counters of a Misra-Gries summary: digests with more than 1 / (k + 1) of all rows are surely found. There are more of
+#: them the more rows there are, so that a group that isn't split has about GROUP rows at most, up to MOST_COUNTERS.
+HOT_COUNTERS, MOST_COUNTERS, GROUP = 255, 16_383, 1_000_000
 #: Summaries merged by one task of a merge level.
 FAN_IN = 64
 
@@ -77,7 +78,7 @@ def frequent(digests: DataFrame, k: int = HOT_COUNTERS) -> DataFrame:
     return level.select("digest", "n")
 
 
-def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = HOT_COUNTERS) -> DataFrame:
+def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int | None = None) -> DataFrame:
     """One row per input row: (key, keep_id, group_size, kept, text_sha256).
 
     Equal texts are identical strings, no normalisation; null text counts as empty. The row with the largest key stays.
@@ -87,6 +88,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     rows = docs.select(F.col(key).alias("id"), F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)).alias("digest"))
     rows = staged(rows)
     total = rows.count()
+    k = k or min(MOST_COUNTERS, max(HOT_COUNTERS, total // GROUP))
     candidates = frequent(rows, k).select("digest")
     # At most k rows by construction, so both broadcasts are bounded.
     hot = rows.join(F.broadcast(candidates), "digest", "left_semi").groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -107,25 +109,27 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     return decided.unionByName(winners).unionByName(rest).select(F.col("id").alias(key), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = HOT_COUNTERS) -> DataFrame:
-    """docs with one row of each group of equal texts, all columns kept.
+def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int | None = None) -> DataFrame:
+    """docs with one row of each group of equal texts, all columns kept, whatever their names.
 
     Texts move only if the list of dropped keys is too large to broadcast. Keys repeated among the kept rows are rare;
-    only their rows are sorted to keep one row per text.
+    only their rows are sorted to keep one row per text. Null texts are copies of the empty one; an empty table stays empty.
     """
-    report = staged(exact_groups(docs, key, text, k))
-    kept = report.where("kept").groupBy(key, "text_sha256").count().select(key, "text_sha256")
-    losers = report.where(~F.col("kept")).select(F.col(key).alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    start = made()
+    report = staged(exact_groups(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text", k))
+    kept = report.where("kept").select(F.col("id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    losers = report.where(~F.col("kept")).select("id", F.col("text_sha256").alias("sha")).distinct()
     # A key may stand for a kept and a dropped row at once (repeated rows, or one key with two texts): then the text decides.
-    tied = staged(losers.join(kept, losers.id.eqNullSafe(kept[key]) & (losers.sha == kept.text_sha256), "left_semi").coalesce(1))
-    sha = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    work = docs.withColumn("__sha", sha)
-    dropped = losers.join(tied, ["sha"], "left_anti") if not tied.isEmpty() else losers
-    dropped = checked(staged(dropped))
-    out = work.join(dropped, work[key].eqNullSafe(dropped.id) & (work["__sha"] == dropped.sha), "left_anti")
-    if not tied.isEmpty():
-        again = out.join(tied, out["__sha"] == tied.sha, "left_semi")
-        first = Window.partitionBy("__sha").orderBy(F.desc_nulls_last(key))
-        again = again.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-        out = out.join(tied, out["__sha"] == tied.sha, "left_anti").unionByName(again)
-    return out.select(*docs.columns)
+    tied = staged(losers.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha")), "left_semi").coalesce(1))
+    again = not tied.isEmpty()
+    dropped = staged(losers.join(tied, ["sha"], "left_anti") if again else losers)
+    sweep(docs.sparkSession, start, tied, dropped)
+    dropped = checked(dropped)
+    sha, rank = free_name("sha", [*docs.columns, "id", "sha"]), free_name("rank", docs.columns)
+    work = docs.withColumn(sha, F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256))
+    out = work.join(dropped, work[f"`{key}`"].eqNullSafe(dropped["id"]) & (work[sha] == dropped["sha"]), "left_anti")
+    if again:
+        first = Window.partitionBy(sha).orderBy(F.desc_nulls_last(f"`{key}`"))
+        some = out.join(tied, out[sha] == tied["sha"], "left_semi").withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
+        out = out.join(tied, out[sha] == tied["sha"], "left_anti").unionByName(some)
+    return out.drop(sha)
