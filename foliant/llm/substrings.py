@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import discard, staged, text_bytes, with_ids
+from foliant.llm.common import checked, made, staged, sweep, text_bytes, with_ids
 from foliant.llm.induced import suffix_order
 from foliant.session import ship_package
 
@@ -211,12 +211,15 @@ def keys_shared_between(group: pa.Table) -> pa.Table:
 
 
 _SENT = "shard int, ids binary, first binary, windows binary, body binary"
+_COVERED = "id long, first long, windows int"
+#: Bits of a place in a text; what is above them is the number of the text among those of its key.
+PART = 32
 
 
 def cut_segments(tells: int, shards: int):
-    """From rows (id, text, keys) to packed rows: shard -1 for windows covered within the task, else segments to sort.
+    """From rows (id, text, keys, part) to packed rows: shard -1 for windows covered within the task, else segments to sort.
 
-    Windows whose anchor isn't among the keys are in no other document. The others are dealt to shards by a second anchor.
+    first is a window's place in its text, with the text's part number in the bits from PART on. Windows whose anchor isn't among the keys are in no other document. The others are dealt to shards by a second anchor.
     """
     names = [c.split()[0] for c in _SENT.split(", ")]
 
@@ -224,7 +227,7 @@ def cut_segments(tells: int, shards: int):
         for i in range(0, len(rows), 16):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if j == 0 else pa.binary()) for j, c in enumerate(zip(*rows[i : i + 16], strict=True))], names)
 
-    def cut(ids: list[int], texts: list[bytes], keys: list[np.ndarray]) -> Iterator[tuple]:
+    def cut(ids: list[int], texts: list[bytes], keys: list[np.ndarray], parts: list[int]) -> Iterator[tuple]:
         """(body, id, first, windows, shard)."""
         for i, j in _groups(texts):
             ends = np.cumsum([len(t) for t in texts[i:j]])
@@ -246,11 +249,11 @@ def cut_segments(tells: int, shards: int):
             own = np.searchsorted(ends, first, "right")
             shard = (m[first] % np.uint64(shards)).astype(np.int64)
             for f, w, o, s in zip(first.tolist(), count.tolist(), own.tolist(), shard.tolist(), strict=True):
-                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]), w, s
+                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]) + (parts[i + o] << PART), w, s
 
-    def flush(ids: list[int], texts: list[bytes], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def flush(ids: list[int], texts: list[bytes], keys: list[np.ndarray], parts: list[int]) -> Iterator[pa.RecordBatch]:
         least: dict[bytes, int] = {}
-        held = list(cut(ids, texts, keys))
+        held = list(cut(ids, texts, keys, parts))
         for body, i, _, _, _ in held:
             if i < least.get(body, i + 1):
                 least[body] = i
@@ -258,29 +261,30 @@ def cut_segments(tells: int, shards: int):
         rows = []
         if covered:
             c = np.array(covered, np.int64)
-            rows.append((-1, c[:, 0].tobytes(), c[:, 1].astype("<u4").tobytes(), c[:, 2].astype("<u4").tobytes(), b""))
+            rows.append((-1, c[:, 0].tobytes(), c[:, 1].tobytes(), c[:, 2].astype("<u4").tobytes(), b""))
         by: dict[int, list[tuple]] = {}
         for x in held:
             if x[1] == least[x[0]]:
                 by.setdefault(x[4], []).append(x)
         for shard, found in sorted(by.items()):
-            rows.append((shard, np.array([x[1] for x in found], np.int64).tobytes(), np.array([x[2] for x in found], "<u4").tobytes(), np.array([x[3] for x in found], "<u4").tobytes(), b"".join(x[0] for x in found)))
+            rows.append((shard, np.array([x[1] for x in found], np.int64).tobytes(), np.array([x[2] for x in found], np.int64).tobytes(), np.array([x[3] for x in found], "<u4").tobytes(), b"".join(x[0] for x in found)))
         yield from packed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, keys, size = [], [], [], 0
+        ids, texts, keys, parts, size = [], [], [], [], 0
         for batch in batches:
-            for i, x, k in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for i, x, k, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 ids.append(i)
                 texts.append(text_bytes(x.as_py()))
                 keys.append(k.values.to_numpy(zero_copy_only=False))
+                parts.append(part)
                 # A key stands for about one segment of 70 bytes.
                 size += 70 * len(keys[-1])
                 if size >= FLUSH // 2:
-                    yield from flush(ids, texts, keys)
-                    ids, texts, keys, size = [], [], [], 0
+                    yield from flush(ids, texts, keys, parts)
+                    ids, texts, keys, parts, size = [], [], [], [], 0
         if ids:
-            yield from flush(ids, texts, keys)
+            yield from flush(ids, texts, keys, parts)
 
     return run
 
@@ -288,7 +292,7 @@ def cut_segments(tells: int, shards: int):
 def covered_in_shard(group: pa.Table) -> pa.Table:
     """Of one shard of segments: (id, first, windows) of runs of windows that a smaller id has too."""
     ids = np.frombuffer(_joined(group["ids"]), np.int64)
-    first, windows = (np.frombuffer(_joined(group[c]), "<u4").astype(np.int64) for c in ("first", "windows"))
+    first, windows = np.frombuffer(_joined(group["first"]), np.int64), np.frombuffer(_joined(group["windows"]), "<u4").astype(np.int64)
     raw = _joined(group["body"])
     size = windows + LENGTH - 1
     start = np.cumsum(size) - size
@@ -299,7 +303,7 @@ def covered_in_shard(group: pa.Table) -> pa.Table:
         if i < least.get(body, i + 1):
             least[body] = i
     own = ids == np.fromiter(map(least.__getitem__, bodies), np.int64, len(bodies))
-    whole = pa.table({"id": pa.array(ids[~own]), "first": pa.array(first[~own].astype(np.int32)), "windows": pa.array(windows[~own].astype(np.int32))})
+    whole = pa.table({"id": pa.array(ids[~own]), "first": pa.array(first[~own]), "windows": pa.array(windows[~own].astype(np.int32))})
     text = np.frombuffer(b"".join(b for b, o in zip(bodies, own.tolist(), strict=True) if o), np.uint8)
     del bodies, least, raw
     return pa.concat_tables([whole, covered_by_suffixes(text, ids[own], first[own], windows[own])])
@@ -359,18 +363,18 @@ def covered_by_suffixes(text: np.ndarray, ids: np.ndarray, first: np.ndarray, wi
     # Runs of covered windows within a segment.
     at = np.flatnonzero(hit)
     if not len(at):
-        return pa.table({"id": pa.array([], pa.int64()), "first": pa.array([], pa.int32()), "windows": pa.array([], pa.int32())})
+        return pa.table({"id": pa.array([], pa.int64()), "first": pa.array([], pa.int64()), "windows": pa.array([], pa.int32())})
     begin = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (owner[at[1:]] != owner[at[:-1]])])
     head = at[begin]
     count = np.diff(np.r_[begin, len(at)])
     seg = owner[head]
-    return pa.table({"id": pa.array(ids[seg]), "first": pa.array((first[seg] + head - start[seg]).astype(np.int32)), "windows": pa.array(count.astype(np.int32))})
+    return pa.table({"id": pa.array(ids[seg]), "first": pa.array(first[seg] + head - start[seg]), "windows": pa.array(count.astype(np.int32))})
 
 
 def unpack_covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(r["ids"], np.int64)), *(pa.array(np.frombuffer(r[c], "<u4").astype(np.int32)) for c in ("first", "windows"))], ["id", "first", "windows"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(r["ids"], np.int64)), pa.array(np.frombuffer(r["first"], np.int64)), pa.array(np.frombuffer(r["windows"], "<u4").astype(np.int32))], ["id", "first", "windows"])
 
 
 def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,38 +399,54 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """One row per input row: (key, n_bytes, n_removed, n_spans, kept_sha256).
 
     Texts are UTF-8 bytes; null counts as empty. Matches lie within documents, overlaps count, and all matches are those
-    of the input. Rows that repeat key and text are one document in several rows, with one result; a key with several
-    texts is treated as that many parts of one document. Rows with a null key neither cover others nor are covered. An
-    empty table gives no rows; extra columns are ignored.
+    of the input. Rows that repeat key and text are one document in several rows, with one result. A key with several
+    texts is a document in that many parts: each row has the result of its own part, matches lie within a part, and parts
+    of one key don't cover each other. Rows with a null key neither cover others nor are covered. An empty table gives no
+    rows; extra columns are ignored.
     """
-    ship_package(docs.sparkSession)
+    spark, start = ship_package(docs.sparkSession), made()
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    known = staged(rows.select("id", F.unhex(F.sha2(body, 256)).alias("digest"), F.length(body).cast("long").alias("n_bytes")))
-    heads = known.where("id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("head"), F.max("id").alias("top")).where("head < top").select("digest", "head")
-    copies = staged(known.join(heads, "digest").where("id > head").select("id", "digest", "n_bytes"))
-    copy_ids = copies.select("id").distinct()
+    digest = F.unhex(F.sha2(body, 256))
+    known = staged(rows.select("id", digest.alias("digest"), F.length(body).cast("long").alias("n_bytes")))
+    split = staged(known.where("id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("id"))
+    stored = [known]
+    if split.isEmpty():
+        rows, known = (df.withColumn("part", F.lit(0)) for df in (rows, known))
+    else:
+        # Only rows of such keys learn which part they are; the others are part 0.
+        number = F.row_number().over(Window.partitionBy("id").orderBy("digest")) - 1
+        parts = staged(known.join(checked(split), "id").select("id", "digest").distinct().withColumn("part", number))
+        numbered = lambda df: df.join(checked(parts), ["id", "digest"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
+        rows, known = numbered(rows.withColumn("digest", digest)).drop("digest"), staged(numbered(known))
+        stored = [known, parts]
+    part = ["id", "part"]
+    heads = known.where("id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("head"), F.max("id").alias("top")).where("head < top")
+    heads = staged(heads.select("digest", "head"))
+    copies = staged(known.join(checked(heads), "digest").where("id > head").select("id", "part", "digest", "n_bytes"))
+    copy_ids = copies.select(part).distinct()
     total = known.agg(F.sum("n_bytes")).first()[0] or 0
-    left = with_ids(rows.where("id IS NOT NULL"), copy_ids, "left_anti")
+    left = with_ids(rows.where("id IS NOT NULL"), copy_ids, "left_anti", part)
     shards = max(16, int(total / 13 / SHARD_ANCHORS) + 1)
-    here = left.mapInArrow(keys_shared_here(shards), _PLACES)
-    between = left.mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(keys_shared_between, _PLACES)
+    here = left.select("id", "text").mapInArrow(keys_shared_here(shards), _PLACES)
+    between = left.select("id", "text").mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(keys_shared_between, _PLACES)
     places = staged(here.unionByName(between))
-    parts = max(16, int(places.count() * 70 / SHARD_BYTES) + 1)
+    pieces = max(16, int(places.count() * 70 / SHARD_BYTES) + 1)
     by_id = places.groupBy("id").agg(F.collect_list("key").alias("keys"))
     some = with_ids(left, places.select("id").distinct(), "left_semi").where(F.octet_length("text") >= LENGTH)
-    sent = staged(some.join(by_id, "id").select("id", "text", "keys").mapInArrow(cut_segments(shards, parts), _SENT))
-    inner = sent.where("shard < 0").select("ids", "first", "windows").mapInArrow(unpack_covered, "id long, first int, windows int")
-    outer = sent.where("shard >= 0").groupBy("shard").applyInArrow(covered_in_shard, "id long, first int, windows int")
-    covered = staged(inner.unionByName(outer))
-    discard(places)
-    spans = covered.groupBy("id").agg(F.collect_list(F.struct("first", "windows")).alias("places"))
-    touched = staged(covered.select("id").distinct())
-    rewritten = with_ids(left, touched, "left_semi").join(spans, "id").select("id", "text", "places").mapInArrow(rewrite, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    sent = staged(some.join(by_id, "id").select("id", "text", "keys", "part").mapInArrow(cut_segments(shards, pieces), _SENT))
+    inner = sent.where("shard < 0").select("ids", "first", "windows").mapInArrow(unpack_covered, _COVERED)
+    outer = sent.where("shard >= 0").groupBy("shard").applyInArrow(covered_in_shard, _COVERED)
+    covered = inner.unionByName(outer).select("id", F.shiftright("first", PART).cast("int").alias("part"), F.col("first").bitwiseAND((1 << PART) - 1).cast("int").alias("first"), "windows")
+    covered = staged(covered)
+    spans = covered.groupBy(part).agg(F.collect_list(F.struct("first", "windows")).alias("places"))
+    touched = staged(covered.select(part).distinct())
+    sweep(spark, start, *stored, copies, covered, touched)
+    rewritten = with_ids(left, touched, "left_semi", part).join(spans, part).select("id", "text", "places").mapInArrow(rewrite, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     whole = F.col("n_bytes") >= LENGTH
     empty = hashlib.sha256(b"").hexdigest()
     hexed = F.lower(F.hex("digest"))
     gone = copies.select("id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(0).alias("n_removed"), F.when(whole, 1).otherwise(0).cast("long").alias("n_spans"), F.when(whole, empty).otherwise(hexed).alias("kept_sha256"))
     done = touched.unionByName(copy_ids)
-    same = known.join(done, "id", "left_anti").select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), hexed.alias("kept_sha256"))
+    same = with_ids(known, done, "left_anti", part).select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), hexed.alias("kept_sha256"))
     return rewritten.unionByName(gone).unionByName(same).withColumnRenamed("id", key)
