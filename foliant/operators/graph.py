@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import staged
 from foliant.operators.values import harvest
 from foliant.registry import query
 from foliant.session import table
+from foliant.staging import checked, staged
 
 
 def triples_of(rows: DataFrame, subject: Column, properties: dict[str, Column]) -> DataFrame:
@@ -73,7 +73,7 @@ def violations(triples: DataFrame, shapes: DataFrame) -> DataFrame:
     Shapes are a profile's few rules; subjects of a target class are those with a type triple.
     """
     typed = triples.where("p = 'type'").select("s", F.col("o").alias("target"))
-    wanted = typed.join(F.broadcast(shapes), "target")
+    wanted = typed.join(checked(shapes), "target")
     n = triples.groupBy("s", "p").agg(F.count("*").alias("n"), F.collect_set("o").alias("found"))
     got = wanted.join(n, ["s", "p"], "left")
     count = F.coalesce("n", F.lit(0))

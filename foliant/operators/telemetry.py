@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.registry import query
 from foliant.session import table
+from foliant.staging import checked
 
 MILLION = 1_000_000
 
@@ -22,7 +23,7 @@ def cost(totals: DataFrame, prices: DataFrame) -> DataFrame:
     """Price of each row; cached tokens, never more than the input, at their own price. Models without a price cost null."""
     cached = F.least(F.greatest("cached_tokens", F.lit(0)), F.col("input_tokens"))
     paid = (F.col("input_tokens") - cached) * F.col("in_price") + cached * F.col("cached_price") + F.col("output_tokens") * F.col("out_price")
-    return totals.join(F.broadcast(prices), "model", "left").withColumn("cost", F.round(paid / MILLION, 6))
+    return totals.join(checked(prices), "model", "left").withColumn("cost", F.round(paid / MILLION, 6))
 
 
 def in_flight(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
