@@ -5,11 +5,16 @@ documents are the passages, benchmark items the questions, embeddings the vector
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.registry import query
-from foliant.session import table
+from foliant.session import ship_package, table
+from foliant.staging import checked, staged
 
 # Fixed values of the ranking functions.
 K1, B, TITLE_WEIGHT, TEXT_WEIGHT = 1.2, 0.75, 2.0, 1.0
@@ -38,18 +43,20 @@ def postings(passages: DataFrame, key: str, title: str, text: str) -> tuple[Data
 def bm25(questions: DataFrame, question: str, words: str, index: tuple[DataFrame, DataFrame], key: str) -> DataFrame:
     """(question, key, score) of all passages that share a word; statistics over the whole index, filters come after.
 
-    Question words are few beside the postings, so the postings are cut to them before anything is joined or summed.
+    Question words are few beside the postings, so the postings are cut to them before anything is joined or summed: the
+    counted list of asked words is broadcast, and the filter runs in the scan of the words. idf and the asking questions
+    of a term are lists of that size too, so a posting never leaves its task before the sum per question and passage.
     """
     terms, lengths = index
-    asked = questions.select(question, F.explode(words).alias("term"))
+    asked = staged(questions.select(question, F.explode(words).alias("term")))
     total = lengths.agg(F.count("*").cast("double").alias("total"), F.avg("n").alias("mean"))
-    wanted = terms.join(asked.select("term").distinct(), "term", "left_semi")
-    idf = wanted.groupBy("term").agg(F.count("*").alias("df")).withColumn("one", F.lit(1)).join(F.broadcast(total.withColumn("one", F.lit(1))), "one")
+    wanted = staged(terms.join(checked(asked.select("term").distinct()), "term", "left_semi"))
+    idf = wanted.groupBy("term").agg(F.count("*").alias("df")).join(total)  # one row of totals
     raw = F.ln((F.col("total") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    idf = idf.select("term", F.when(raw > 0, raw).otherwise(LEAST_IDF).alias("idf"), "mean")
-    scored = wanted.join(idf, "term").join(lengths, key)
+    idf = staged(idf.select("term", F.when(raw > 0, raw).otherwise(LEAST_IDF).alias("idf"), "mean"))
+    scored = wanted.join(checked(idf), "term").join(lengths, key)
     part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("n") / F.col("mean")))
-    return scored.select("term", key, part.alias("part")).join(asked, "term").groupBy(question, key).agg(F.sum("part").alias("score"))
+    return scored.select("term", key, part.alias("part")).join(checked(asked), "term").groupBy(question, key).agg(F.sum("part").alias("score"))
 
 
 def top(rows: DataFrame, by: list[str], score: str, tie: str, n: int) -> DataFrame:
@@ -69,14 +76,73 @@ def unit(v: Column) -> Column:
     return F.when(size > 0, F.transform(v, lambda x: x / size)).otherwise(v)
 
 
-def dense(probes: DataFrame, vectors: DataFrame, owner: str, k: int) -> DataFrame:
-    """(probe, owner, score): per probe the k vectors of largest inner product, then the best per owner.
+#: Probes that one broadcast holds; more of them are searched for block by block.
+PROBES = 20_000
+
+
+def _probe_blocks(probes: DataFrame):
+    """(ids, matrix) of the probes, PROBES at a time in the order of their ids; one pass over the vectors serves a block."""
+    n = probes.count()
+    blocks = -(-n // PROBES)
+    for k in range(blocks):
+        part = probes if blocks == 1 else probes.where(F.pmod(F.xxhash64("probe"), F.lit(blocks)) == k)
+        rows = sorted((r["probe"], r["wanted"]) for r in part.select("probe", "wanted").collect())
+        yield np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)
 
-    Probes are a stated query set: they are broadcast in their order against every vector, block by block.
+
+def nearest(probes: DataFrame, vectors: DataFrame, k: int, owner: str | None = None, places: int = 5) -> DataFrame:
+    """(probe, vec_id, score, rank, owner): per probe the k vectors of largest inner product, ties by the smallest id.
+
+    With owner, only the best vector of each owner counts. Each task multiplies its vectors with the block of probes and
+    keeps k rows per probe (and with owner, the best per owner first), so that what is shuffled grows with tasks times
+    probes times k and never with pairs. Vectors and probes have vec_id, embedding and probe, wanted.
     """
-    scored = vectors.crossJoin(F.broadcast(probes))
-    scored = scored.select("probe", "vec_id", owner, F.round(dot(F.col("embedding"), F.col("wanted")), 5).alias("score"))
-    return top(scored, ["probe"], "score", "vec_id", k).groupBy("probe", owner).agg(F.max("score").alias("score"))
+    ship_package(vectors.sparkSession)
+    label = owner or "vec_id"
+    kind = dict(vectors.dtypes)[label]
+    schema = f"probe long, vec_id long, score double, owner {kind}"
+    out = None
+    for ids, matrix in _probe_blocks(probes):
+        shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            ids, matrix = shared.value
+            best: list[list[tuple]] = [[] for _ in ids]
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                vec, names = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_pylist()
+                body = np.array(batch.column(1).to_pylist(), np.float64)
+                for at in range(0, len(ids), 256):
+                    scores = np.round(body @ matrix[at : at + 256].T, places) + 0.0
+                    for j in range(scores.shape[1]):
+                        order = np.lexsort((vec, -scores[:, j]))
+                        held = best[at + j] + [(-scores[i, j], int(vec[i]), names[i]) for i in (order if owner else order[:k])]
+                        held.sort(key=lambda r: r[:2])
+                        if owner:
+                            seen: dict = {}
+                            for r in held:
+                                seen.setdefault(r[2], r)
+                            held = list(seen.values())
+                        best[at + j] = held[:k]
+            rows = [(int(p), v, -s, o) for p, held in zip(ids, best, strict=True) for s, v, o in held]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), None), strict=True)], ["probe", "vec_id", "score", "owner"])
+
+        part = vectors.select("vec_id", "embedding", F.col(label)).mapInArrow(run, schema)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = vectors.sparkSession.createDataFrame([], schema)
+    if owner:
+        out = out.withColumn("__b", F.row_number().over(Window.partitionBy("probe", "owner").orderBy(F.desc("score"), "vec_id"))).where("__b = 1").drop("__b")
+    found = top(out, ["probe"], "score", "vec_id", k)
+    return found.select("probe", "vec_id", "score", "rank", F.col("owner").alias(owner)) if owner else found.select("probe", "vec_id", "score", "rank")
+
+
+def dense(probes: DataFrame, vectors: DataFrame, owner: str, k: int) -> DataFrame:
+    """(probe, owner, score): per probe the k vectors of largest inner product, then the best per owner."""
+    near = nearest(probes, vectors, k).join(vectors.select("vec_id", owner), "vec_id")
+    return near.groupBy("probe", owner).agg(F.max("score").alias("score"))
 
 
 def fuse(rankings: list[DataFrame], key: list[str], k: int = RRF_K) -> DataFrame:
@@ -104,9 +170,10 @@ def budgeted(ranked: DataFrame, kind: str, rank: str, shares: dict[str, int], bu
     total = sum(shares.values())
     quota = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, v * budget // total)])
     w = Window.partitionBy(kind).orderBy(rank)
-    marked = ranked.withColumn("own", F.row_number().over(w) <= F.coalesce(F.try_element_at(quota, F.col(kind)), F.lit(0)))
-    fill = Window.orderBy(F.desc("own"), rank)
-    return marked.withColumn("__n", F.row_number().over(fill)).where(F.col("__n") <= budget).drop("__n", "own")
+    # Only the first `budget` of a kind can be taken, so the one global order is over a few rows a kind.
+    first = ranked.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= budget)
+    marked = first.withColumn("own", F.col("__k") <= F.coalesce(F.try_element_at(quota, F.col(kind)), F.lit(0)))
+    return marked.orderBy(F.desc("own"), rank).limit(budget).drop("__k", "own")
 
 
 def best_of_each(ranked: DataFrame, kind: str, rank: str, n: int) -> DataFrame:
@@ -195,9 +262,13 @@ def multi_probe_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _HYBRID = _BM25 + """
-    , d AS (SELECT o_custkey % 40 AS item_id, o_orderkey % (SELECT count(*) FROM documents) AS doc_id, max(round(o_totalprice, 2)) AS score FROM orders GROUP BY 1, 2),
-    e AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM d),
-    u AS (SELECT item_id, doc_id, 0 AS ranking, rank FROM e WHERE rank <= 10 UNION ALL SELECT item_id, doc_id, 1, rank FROM b WHERE rank <= 10),
+    , c AS (SELECT count(*) AS n FROM documents), v AS (SELECT vec_id, vec_id * 13 % n AS doc_id, embedding FROM embeddings, c),
+    x AS (SELECT item_id, embedding AS wanted FROM benchmark JOIN embeddings ON vec_id = item_id),
+    y AS (SELECT item_id, doc_id, vec_id, round(list_sum(list_transform(list_zip(embedding, wanted), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)), 5) AS score FROM x, v WHERE doc_id % 10 <> 9),
+    z AS (SELECT *, row_number() OVER (PARTITION BY item_id, doc_id ORDER BY score DESC, vec_id) AS r FROM y),
+    e AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, vec_id) AS rank FROM z WHERE r = 1),
+    bc AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE doc_id % 10 <> 9),
+    u AS (SELECT item_id, doc_id, 0 AS ranking, rank FROM e WHERE rank <= 10 UNION ALL SELECT item_id, doc_id, 1, rank FROM bc WHERE rank <= 10),
     f AS (SELECT item_id, doc_id, round(sum(1.0 / (60 + rank)), 9) AS score, min((ranking, rank)) AS best,
           max(CASE WHEN ranking = 0 THEN rank END) AS dense_rank, max(CASE WHEN ranking = 1 THEN rank END) AS lexical_rank FROM u GROUP BY 1, 2)
 """
@@ -205,13 +276,21 @@ _HYBRID = _BM25 + """
 
 @query(_HYBRID + "SELECT item_id, doc_id, score, dense_rank, lexical_rank, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, best) AS place FROM f")
 def hybrid_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word search fused with a second ranking (a score by orders, standing in for question vectors) by reciprocal ranks."""
+    """Vector search and word search over current documents, fused by reciprocal ranks.
+
+    A question's vector is that of its number; vectors belong to documents by their id, and a tenth of the documents
+    isn't current. Statistics of words are over all documents; what isn't current is left out before the cut.
+    """
+    current = F.col("doc_id") % 10 != 9
     n = table(spark, sf_dir, "documents").count()
-    o = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 40).alias("item_id"), (F.col("o_orderkey") % n).alias("doc_id")).agg(F.max(F.round("o_totalprice", 2)).alias("score"))
-    second = top(o, ["item_id"], "score", "doc_id", 10)
-    words = _bm25(spark, sf_dir)
-    ranks = second.select("item_id", "doc_id", F.col("rank").alias("dense_rank")).join(words.select("item_id", "doc_id", F.col("rank").alias("lexical_rank")), ["item_id", "doc_id"], "full")
-    fused = fuse([second, words], ["item_id", "doc_id"]).join(ranks, ["item_id", "doc_id"])
+    e = table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") * 13 % n).alias("doc_id"), "embedding")
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("vec_id")).join(e, "vec_id").select(F.col("vec_id").alias("probe"), F.col("embedding").alias("wanted"))
+    first = nearest(asked, e.where(current), 10, owner="doc_id").select(F.col("probe").alias("item_id"), "doc_id", "rank")
+    scores = bm25(_questions(spark, sf_dir), "item_id", "words", _index(spark, sf_dir), "doc_id").where(current)
+    words = top(scores.withColumn("score", F.round("score", 6)), ["item_id"], "score", "doc_id", 10).select("item_id", "doc_id", "rank")
+    first, words = staged(first), staged(words)  # each is read twice
+    ranks = first.withColumnRenamed("rank", "dense_rank").join(words.withColumnRenamed("rank", "lexical_rank"), ["item_id", "doc_id"], "full")
+    fused = fuse([first, words], ["item_id", "doc_id"]).join(ranks, ["item_id", "doc_id"])
     place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "first", "at"))
     return fused.select("item_id", "doc_id", "score", "dense_rank", "lexical_rank", place.alias("place"))
 
@@ -234,9 +313,11 @@ def embedding_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def pool_budgeted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A budget of twenty dealt to languages by shares, from a ranking by length."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    ranked = d.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n_chars"), "doc_id")))
-    return budgeted(ranked, "lang", "rank", {"en": 3, "de": 2, "fr": 1}, 20).drop("n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").withColumn("best", F.struct((-F.col("n_chars")).alias("n"), "doc_id"))
+    taken = budgeted(d, "lang", "best", {"en": 3, "de": 2, "fr": 1}, 20)
+    # The rank in the whole list is one more than the rows ahead: a count against twenty rows, not an order of all.
+    ahead = d.select(F.col("best").alias("other")).join(F.broadcast(taken.select("best")), F.col("other") <= F.col("best")).groupBy("best").agg(F.count("*").alias("rank"))
+    return taken.join(ahead, "best").select("doc_id", "lang", "rank")
 
 
 @query("""SELECT doc_id, lang, rank FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank FROM documents) WHERE rank <= 5""")

@@ -26,6 +26,12 @@ def cost(totals: DataFrame, prices: DataFrame) -> DataFrame:
     return totals.join(checked(prices), "model", "left").withColumn("cost", F.round(paid / MILLION, 6))
 
 
+def queue_waits(spans: DataFrame, key: str, asked: str, sent: str, answered: str) -> DataFrame:
+    """in_flight from sending to answering, with the seconds that requests waited in the queue between asking and sending."""
+    waited = spans.groupBy(key).agg(F.sum(F.col(sent) - F.col(asked)).alias("waited_s"), F.max(F.col(sent) - F.col(asked)).alias("longest_wait_s"))
+    return in_flight(spans, key, sent, answered).join(waited, key)
+
+
 def in_flight(spans: DataFrame, key: str, start: str, end: str) -> DataFrame:
     """Sweep over (start, end) in seconds per key: requests, service seconds, most and mean in flight.
 
@@ -118,6 +124,22 @@ def at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_flight(s, "stage", "a", "b")
 
 
+@query("""
+    WITH s AS (SELECT event_type AS stage, epoch_us(ts) // 1000000 AS q, epoch_us(ts) // 1000000 + user_id % 5 AS a, epoch_us(ts) // 1000000 + user_id % 5 + CAST(floor(value) AS BIGINT) AS b FROM events),
+    e AS (SELECT stage, a AS moment, 1 AS step FROM s UNION ALL SELECT stage, b, -1 FROM s),
+    r AS (SELECT stage, sum(step) OVER (PARTITION BY stage ORDER BY moment, step ROWS UNBOUNDED PRECEDING) AS now FROM e),
+    m AS (SELECT stage, CAST(max(now) AS BIGINT) AS most FROM r GROUP BY 1)
+    SELECT stage, count(*) AS requests, CAST(sum(b - a) AS BIGINT) AS service_s, any_value(most) AS most, CAST(sum(a - q) AS BIGINT) AS waited_s, max(a - q) AS longest_wait_s FROM s JOIN m USING (stage) GROUP BY 1
+""")
+def queue_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How long the requests of a stage waited before they were sent."""
+    e = table(spark, sf_dir, "events")
+    asked = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    sent = asked + F.col("user_id") % 5
+    s = e.select(F.col("event_type").alias("stage"), asked.alias("q"), sent.alias("a"), (sent + F.floor("value")).alias("b"))
+    return queue_waits(s, "stage", "q", "a", "b").select("stage", "requests", "service_s", "most", "waited_s", "longest_wait_s")
+
+
 @query("""
     SELECT event_type AS stage, list_sort(list(value))[CAST(least(count(*) - 1, floor(count(*) * 0.9)) AS BIGINT) + 1] AS percentile FROM events GROUP BY 1
 """)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliant.functions import text as T
 from foliant.registry import query
 from foliant.session import table
+from foliant.staging import checked
 
 
 def sections(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -22,6 +23,28 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
+#: Words of a quote that find the texts to look into.
+PROBE = 3
+
+
+def carriers(quotes: DataFrame, quote: str, texts: DataFrame, key: str) -> DataFrame:
+    """(quote, key): which texts (key, body) carry which quotes (quote id, quote), both flat.
+
+    A quote's inner words (its first and last may be cut) give one probe, the hash of PROBE words in a row. The runs of words of every
+    text are cut to the probes where they are read, by the counted list of probes, and meet their quotes by an equi-join;
+    only those pairs are compared. Quotes of fewer words are tried against every text; their list is counted too.
+    """
+    w = F.split("quote", " ")
+    inner = quotes.withColumn("__w", F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0))))
+    probed = inner.where(F.size("__w") >= PROBE).select(quote, "quote", F.xxhash64(F.array_join(F.slice("__w", 1, PROBE), " ")).alias("probe"))
+    short = inner.where(F.size("__w") < PROBE).select(quote, "quote")
+    runs = texts.select(key, "body", F.explode(F.array_distinct(T.shingles(F.col("body"), PROBE))).alias("probe"))
+    met = runs.join(checked(probed), "probe").where(F.contains("body", "quote")).select(quote, key)
+    if short.isEmpty():
+        return met
+    return met.unionByName(texts.join(checked(short), F.contains("body", "quote")).select(quote, key))
+
+
 def strip_running_headers(lines: DataFrame, doc: str, page: str, line: str, least_pages: int = 4, share: float = 0.3) -> DataFrame:
     """Lines that aren't running headers: a header's key is on at least max(3, int(share * pages)) pages of a document of
     least_pages or more; the first page keeps its own."""
@@ -111,11 +134,16 @@ def header_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strip_running_headers(s, "doc_id", "page", "line").select("doc_id", "pos")
 
 
-@query(r"""SELECT doc_id, trim(regexp_replace(text, '^(\s*(\d+\.?)+\s+)+', ''))[1:40] AS title FROM documents WHERE regexp_matches(text, '[a-zäöüß]')""")
+@query(r"""
+    WITH b AS (SELECT doc_id, trim(regexp_replace(text, '^(\s*(\d+\.?)+\s+)+', '')) AS t FROM documents),
+    w AS (SELECT doc_id, t, regexp_matches(t, '\p{Lu}') AND NOT regexp_matches(t, '\p{Ll}') AS shout, string_split(t, ' ') AS ws FROM b)
+    SELECT doc_id, md5(CASE WHEN shout THEN array_to_string(list_transform(ws, lambda x: CASE WHEN length(x) <= 4 THEN x ELSE x[1:1] || lower(x[2:]) END), ' ') ELSE t END) AS title, shout FROM w
+""")
 def title_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles without numbering."""
-    d = table(spark, sf_dir, "documents").where(F.col("text").rlike("[a-zäöüß]"))
-    return d.select("doc_id", F.substring(T.normalize_title(F.col("text")), 1, 40).alias("title"))
+    """Whole texts as titles: without numbering, those in capitals lowered."""
+    title = T.normalize_title(F.col("text"))
+    bare = F.trim(F.regexp_replace("text", r"^(\s*(\d+\.?)+\s+)+", ""))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(title).alias("title"), (bare.rlike(r"\p{Lu}") & ~bare.rlike(r"\p{Ll}")).alias("shout"))
 
 
 @query("""
@@ -149,10 +177,10 @@ def numbers_in_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT item_id, doc_id FROM b, d WHERE length(quote) >= 8 AND contains(body, quote)
 """)
 def quotes_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which documents carry which benchmark passage whole. The passages are a small stated set, broadcast against all texts."""
+    """Which documents carry which benchmark passage whole."""
     quotes = table(spark, sf_dir, "benchmark").select("item_id", T.flat(F.col("text")).alias("quote")).where(F.length("quote") >= T.QUOTE_MIN_CHARS)
     d = table(spark, sf_dir, "documents").select("doc_id", T.flat(F.col("text")).alias("body"))
-    return d.join(F.broadcast(quotes), F.contains("body", "quote")).select("item_id", "doc_id")
+    return carriers(quotes, "item_id", d, "doc_id")
 
 
 @query(r"""

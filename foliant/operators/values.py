@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from foliant.registry import query
 from foliant.session import table
 
-# Levels of trust from best to worst, and the level that each reason for doubt gives.
+# Levels of trust from best to worst, states from the strongest, and the level that each reason for doubt gives.
 LEVELS = ("A", "B", "C", "D")
+LADDER = ("read", "unbacked", "exhausted", "unanswered", "unstated")
 REASON_LEVELS = {"image": "B", "transcribed": "B", "open": "C", "unbacked": "C", "conflict": "D", "review": "D"}
 
 
@@ -74,10 +75,21 @@ def trust(reasons: Column, capped: Column) -> Column:
     return F.coalesce(F.array_max(F.concat(F.array(base), F.transform(reasons, level_of))), base)
 
 
-def contested(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """rows with `contested`: another row of the same address says another number."""
+def contested(rows: DataFrame, keys: list[str], value: str, unit: str | None = None, target: str | None = None) -> DataFrame:
+    """rows with `contested`: another row of the same address says another number.
+
+    Two rows that both have a converted value (target) are compared by it, any others by value and unit, so a number in
+    two units isn't contested.
+    """
     w = Window.partitionBy(*keys)
-    return rows.withColumn("contested", F.min(value).over(w) != F.max(value).over(w))
+    said = F.struct(F.col(value).alias("v"), (F.col(unit) if unit else F.lit(None).cast("string")).alias("u"))
+    if target is None:
+        return rows.withColumn("contested", F.min(said).over(w) != F.max(said).over(w))
+    t = F.col(target)
+    bare = F.when(t.isNull(), said)
+    among = F.coalesce(F.min(t).over(w) != F.max(t).over(w), F.lit(False))
+    beside = F.coalesce((F.min(bare).over(w) != said) | (F.max(bare).over(w) != said), F.lit(False))
+    return rows.withColumn("contested", F.when(t.isNotNull(), among | beside).otherwise(F.min(said).over(w) != F.max(said).over(w)))
 
 
 def find(values: DataFrame, document=None, parameter=None, worst=None, text=None, coordinates: dict | None = None, limit: int | None = None, offset: int = 0, order: list[str] | None = None) -> DataFrame:
@@ -189,13 +201,38 @@ def states(rows: DataFrame, spec: DataFrame, documents: DataFrame) -> DataFrame:
     read: a value is there; refused: only values that were not accepted; silent: nothing. The spec is attached to each
     document as an array, so no cross join is planned.
     """
-    names = spec.agg(F.sort_array(F.collect_set("parameter")).alias("all"))
-    cells = documents.select("document").distinct().withColumn("one", F.lit(1)).join(F.broadcast(names.withColumn("one", F.lit(1))), "one").select("document", F.explode("all").alias("parameter"))
+    cells = _cells(spec, documents)
     counted = rows.groupBy("document", "parameter").agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("refused"))
     state = F.when(F.col("accepted") > 0, "read").when(F.col("refused") > 0, "refused").otherwise("silent")
     return cells.join(counted, ["document", "parameter"], "left").select("document", "parameter", state.alias("state"))
 
 
+#: Parameters of a spec at most; they come to the driver as one array.
+SPEC = 10_000
+
+
+def _cells(spec: DataFrame, documents: DataFrame) -> DataFrame:
+    """(document, parameter) of every document and every parameter."""
+    names = sorted(r["parameter"] for r in spec.select("parameter").where(F.col("parameter").isNotNull()).distinct().limit(SPEC + 1).collect())
+    if len(names) > SPEC:
+        raise ValueError(f"a spec of more than {SPEC} parameters")
+    listed = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
+    return documents.select("document").distinct().select("document", F.explode(listed).alias("parameter"))
+
+
+def state_ladder(recorded: DataFrame, spec: DataFrame, documents: DataFrame) -> DataFrame:
+    """(document, parameter, state): the strongest state recorded, in the order read, unbacked, exhausted, unanswered,
+    unstated; never_asked where a document has records but none of the parameter; not_recorded where it has none.
+
+    recorded is (document, parameter, state), documents (document, stamped).
+    """
+    order = F.array(*map(F.lit, LADDER))
+    best = recorded.groupBy("document", "parameter").agg(F.min(F.when(F.array_position(order, F.col("state")) > 0, F.array_position(order, F.col("state")))).alias("at"))
+    cells = _cells(spec, documents).join(documents.select("document", "stamped"), "document")
+    state = F.when(F.col("at").isNotNull(), F.element_at(order, F.col("at").cast("int"))).when(F.col("stamped"), "never_asked").otherwise("not_recorded")
+    return cells.join(best, ["document", "parameter"], "left").select("document", "parameter", state.alias("state"))
+
+
 _STATES = HARVEST + """
     , d AS (SELECT DISTINCT document FROM h), p AS (SELECT DISTINCT parameter FROM h),
     c AS (SELECT document, parameter, count(*) FILTER (discount < 0.05) AS a, count(*) FILTER (NOT discount < 0.05) AS r FROM h GROUP BY 1, 2),
@@ -308,3 +345,31 @@ def value_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = harvest(spark, sf_dir)
     line = F.concat_ws(" ", "parameter", "status", F.col("year").cast("string"), F.lit("="), F.col("value").cast("long").cast("string"))
     return h.groupBy("document", line.alias("line")).agg(F.count("*").alias("n"))
+
+
+@query(HARVEST + """
+    , r AS (SELECT document, pos, parameter, CASE WHEN status = 'F' THEN value * 1000 ELSE value END AS value, CASE WHEN status = 'F' THEN 'kWh' ELSE 'MWh' END AS unit, CASE WHEN pos % 5 <> 0 THEN value END AS target FROM h)
+    SELECT a.document, a.pos, bool_or(CASE WHEN a.target IS NOT NULL AND b.target IS NOT NULL THEN a.target <> b.target ELSE a.value <> b.value OR a.unit <> b.unit END) AS contested
+    FROM r a JOIN r b ON b.document = a.document AND b.parameter = a.parameter GROUP BY 1, 2
+""")
+def contested_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers in two units, contested by their converted values."""
+    final = F.col("status") == "F"
+    r = harvest(spark, sf_dir).withColumn("target", F.when(F.col("pos") % 5 != 0, F.col("value"))).withColumn("unit", F.when(final, "kWh").otherwise("MWh")).withColumn("value", F.when(final, F.col("value") * 1000).otherwise(F.col("value")))
+    return contested(r, ["document", "parameter"], "value", "unit", "target").select("document", "pos", "contested")
+
+
+@query(HARVEST + """
+    , d AS (SELECT document, document % 7 <> 0 AS stamped FROM h GROUP BY 1), p AS (SELECT unnest(['A', 'N', 'R', 'X']) AS parameter),
+    s AS (SELECT document, parameter, min(CASE pos % 6 WHEN 0 THEN 5 WHEN 1 THEN 4 WHEN 2 THEN 3 WHEN 3 THEN 2 WHEN 4 THEN 1 END) AS k FROM h WHERE document % 7 <> 0 GROUP BY 1, 2)
+    SELECT d.document, p.parameter, CASE k WHEN 1 THEN 'read' WHEN 2 THEN 'unbacked' WHEN 3 THEN 'exhausted' WHEN 4 THEN 'unanswered' WHEN 5 THEN 'unstated' ELSE CASE WHEN stamped THEN 'never_asked' ELSE 'not_recorded' END END AS state
+    FROM d CROSS JOIN p LEFT JOIN s ON s.document = d.document AND s.parameter = p.parameter
+""")
+def parameter_state_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest state of every cell, with those never asked and never recorded told apart."""
+    h = harvest(spark, sf_dir)
+    names = F.array(*map(F.lit, ("unstated", "unanswered", "exhausted", "unbacked", "read", "other")))
+    recorded = h.where("document % 7 <> 0").select("document", "parameter", F.element_at(names, (F.col("pos") % 6 + 1).cast("int")).alias("state"))
+    spec = spark.createDataFrame([(p,) for p in "ANRX"], "parameter string")
+    documents = h.select("document").distinct().withColumn("stamped", F.col("document") % 7 != 0)
+    return state_ladder(recorded, spec, documents)

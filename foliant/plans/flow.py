@@ -15,6 +15,7 @@ from foliant.functions.conditions import Facts, compile_condition, problems
 from foliant.operators.retrieval import best_of_each, fuse
 from foliant.registry import query
 from foliant.session import table
+from foliant.staging import discard, staged
 
 Box = Callable[[DataFrame, dict], DataFrame]
 BOXES: dict[str, Box] = {}
@@ -88,16 +89,12 @@ def if_(df: DataFrame, s: dict) -> DataFrame:
 
 @box("boxes", "most")
 def round_(df: DataFrame, s: dict) -> DataFrame:
-    """Its boxes again and again; lineage is cut every turn, and it ends when the watched sum stays the same."""
-    from pyspark.errors import PySparkException
-
+    """Its boxes again and again; every turn is written in the shared folder, and it ends when the watched sum stays the same."""
     before = None
     for _ in range(s["most"]):
-        df = compile_flow(df, s["boxes"])
-        try:
-            df = df.checkpoint()
-        except PySparkException:
-            pass  # no checkpoint folder in a local test: the lineage stays
+        after = staged(compile_flow(df, s["boxes"]))
+        discard(df)
+        df = after
         now = df.agg(F.expr(s.get("watch", "count(*)"))).first()[0]
         if now == before:
             break

@@ -35,27 +35,38 @@ def decide(limit: int, preempted: bool, kv: float, waiting: int, used: int) -> i
 
 
 def limits(samples: DataFrame) -> DataFrame:
-    """(host, at, limit) of a stream of samples (host, at, preempted, kv, waiting, used), the limit kept as state."""
+    """(host, at, limit) of a stream of samples (host, at, preempted, kv, waiting, used), the limit kept as state.
+
+    A host's samples of one trigger are taken in order of time, whatever batches they arrive in; they are as many as the
+    source's bound on a trigger lets in.
+    """
     ship_package(samples.sparkSession)
 
     def step(key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         limit = state.get[0] if state.exists else START
-        for pdf in parts:
-            out = []
-            for r in pdf.sort_values("at").itertuples(index=False):
-                limit = decide(limit, bool(r.preempted), float(r.kv), int(r.waiting), int(r.used))
-                out.append((key[0], r.at, limit))
-            yield pd.DataFrame(out, columns=["host", "at", "limit"])
+        out = []
+        for r in pd.concat(list(parts), ignore_index=True).sort_values("at", kind="stable").itertuples(index=False):
+            limit = decide(limit, bool(r.preempted), float(r.kv), int(r.waiting), int(r.used))
+            out.append((key[0], r.at, limit))
         state.update((limit,))
+        yield pd.DataFrame(out, columns=["host", "at", "limit"])
 
     return samples.groupBy("host").applyInPandasWithState(step, "host string, at long, limit int", "limit int", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_to_end(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """A bounded stream run until its input is used up, as a table."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """A bounded stream run until its input is used up, its result in a Parquet table at path.
+
+    Appended rows are added batch by batch under a folder of the batch's number, so a repeated batch replaces itself; a
+    complete result replaces the one before.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}" if mode == "append" else path)
+
+    q = df.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @query("""

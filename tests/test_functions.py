@@ -16,16 +16,17 @@ def one(spark, column, **values):
     return df.select(column.alias("x")).first()["x"]
 
 
-@pytest.mark.parametrize(("text", "number"), [
-    ("1.036.767,8", "1036767.8"), ("1,036,767.8", "1036767.8"), ("1036767.8", "1036767.8"), ("-12,50", "-12.5"), ("−3", "-3"), ("1.234", "1234"),
-    ("0.125", "0.125"), ("007", "7"), ("0,5", "0.5"), ("abc", None), ("1.2.3", None), ("12 500", "12500"), ("-0", "0"),
+@pytest.mark.parametrize(("text", "point", "comma"), [
+    ("2.045.118,75", "2045118.75", "2045118.75"), ("9,300,000.50", "9300000.5", "9300000.5"), ("88413.2", "88413.2", "88413.2"), ("-12,50", "-12.5", "-12.5"), ("−3", "-3", "-3"),
+    ("4.096", "4.096", "4096"), ("4,096", "4096", "4.096"), ("0.125", "0.125", "125"), ("007", "7", "7"), ("0,5", "0.5", "0.5"), ("abc", None, None), ("3.7.1", "371", "371"), ("12 500", "12500", "12500"),
+    ("-0", "0", "0"), ("+4", "4", "4"), (".5", "0.5", "0.5"), (",", None, None), ("", None, None),
 ])
-def test_numbers_have_one_spelling(spark, text, number):
-    assert one(spark, T.canonical_number(F.col("t")), t=text) == number
+def test_numbers_have_one_spelling(spark, text, point, comma):
+    assert one(spark, T.canonical_number(F.col("t")), t=text) == point and one(spark, T.canonical_number(F.col("t"), ","), t=text) == comma
 
 
 def test_numbers_in_a_text_are_distinct_and_in_order(spark):
-    assert one(spark, T.numbers_in(F.col("t")), t="from 3 to 1.234,5 and 3 (−7)") == ["3", "1234.5", "-7"]
+    assert one(spark, T.numbers_in(F.col("t")), t="from 3 to 4.096,5 and 3 (−7)") == ["3", "4096.5", "-7"]
 
 
 def test_quotes_are_found_in_flat_text(spark):
@@ -33,6 +34,54 @@ def test_quotes_are_found_in_flat_text(spark):
     assert not one(spark, T.quote_in(F.col("q"), F.col("s")), q="total", s="a total of")
 
 
+def test_compatibility_characters_are_one(spark):
+    assert one(spark, T.flat(F.col("t")), t="the eﬃcient  CO₂ ½ m² ﬂow ｗｉｄｅ") == "the efficient CO2 1⁄2 m2 flow wide"
+    assert one(spark, T.quote_in(F.col("q"), F.col("s")), q="efficient office", s="an eﬃcient oﬃce")
+    assert one(spark, T.fold_label(F.col("t")), t="CO₂-Ausstoß") == "co2-ausstoß"
+
+
+def test_parts_of_tables(spark):
+    t = "A title.\n| a | b |\n|---|---|\n| 1 | 2.5 |\n| 1 | 2.5 |\n| 3 | 4 |\na foot"
+    assert [tuple(r) for r in one(spark, T.table_rows(F.col("t")), t=t)] == [("A title.", "title"), ("| a | b |", "head"), ("|---|---|", "rule"), ("| 1 | 2.5 |", "body"), ("| 1 | 2.5 |", "body"), ("| 3 | 4 |", "body"), ("a foot", "foot")]
+    assert one(spark, T.table_rows(F.col("t")), t="no | table") is None and one(spark, T.head_of(F.col("t")), t=t) == "A title.\n| a | b |\n|---|---|"
+    assert one(spark, T.drop_stutter(F.col("t")), t=t).count("2.5") == 1
+    assert tuple(one(spark, T.cell_index(F.col("t"), F.lit("4")), t=t)) == (2, 2) and one(spark, T.cell_index(F.col("t"), F.lit("2.5")), t=t) is None
+
+
+@pytest.mark.parametrize(("text", "wanted"), [("19.5", ("", 19, 5, None)), ("T3", ("T", 3, None, None)), ("12-14", ("", 12, None, 14)), ("A2-A4", ("A", 2, None, 4)), ("0", None), ("14-12", None), ("A2-B4", None), ("1.2-3", None), ("x", None)])
+def test_addresses(spark, text, wanted):
+    got = one(spark, T.address_of(F.col("t")), t=text)
+    assert (None if got is None else tuple(got)) == wanted
+
+
+def test_counts_of_words_and_numbers_of_their_own(spark):
+    assert one(spark, T.times_alone(F.col("t"), F.lit("gas")), t="gas, biogas gas-fired gas") == 3 and one(spark, T.times_alone(F.col("t"), F.lit("x")), t="") == 0
+    assert one(spark, T.times_number(F.col("t"), F.lit("109")), t="109 and 11.109 and 109,0 t") == 2
+    assert one(spark, T.computed_from(F.lit("12.5"), F.lit(12.46))) and not one(spark, T.computed_from(F.lit("12.5"), F.lit(12.4)))
+    assert one(spark, T.years_in(F.col("t")), t="1850, 2030 and 20301, 2045") == ["2030", "2045"]
+
+
+def test_sentences_end_where_they_should(spark):
+    got = one(spark, T.sentences_of(F.col("t"), ["approx", "z.B", "No"]), t="It rose by approx. Five units. On 3. May it fell!  \nSee z.B. Fig. 2? Yes.")
+    assert got == ["It rose by approx. Five units.", "On 3. May it fell!", "See z.B. Fig.", "2?", "Yes."]
+
+
+def test_replies_cut_off_are_closed(spark):
+    closed = one(spark, T.close_brackets(F.col("t")), t='{"a": [1, {"b": "x]')
+    assert closed == '{"a": [1, {"b": "x]"}]}'
+    assert one(spark, T.loads_object(F.col("t")).isNotNull(), t=closed) and not one(spark, T.loads_object(F.col("t")).isNotNull(), t="[1]") and not one(spark, T.loads_object(F.col("t")).isNotNull(), t="{")
+
+
+def test_placeholders_and_arguments(spark):
+    df = spark.createDataFrame([("see [p1_t0] and [p1_t1]", {"p1_t0": "Table 1", "p1_t1": " "})], "t string, c map<string,string>")
+    assert df.select(T.fill_placeholders(F.col("t"), F.col("c"))).first()[0] == "see Table 1 and [p1_t1]"
+    assert df.select(T.fill_placeholders(F.col("t"), F.col("c"), True)).first()[0] == "see [p1_t0: Table 1] and [p1_t1]"
+    got = one(spark, T.arguments_of(F.col("t")), t="parameter=heat%20use&coordinate.year=2030&level=&limit=5")
+    assert got["plain"] == {"parameter": "heat use", "limit": "5"} and got["coordinates"] == {"year": "2030"}
+    assert one(spark, T.wording_key(F.lit(" a "), F.lit(None), F.lit("b"))) == "a /  / b" and one(spark, T.wording_key(F.lit("a"), F.lit(None))) == "a"
+    assert one(spark, T.family_name(F.lit("Jürgen Müller1,2*"))) == "muller" and one(spark, T.summary_line(F.lit(" "))) == "—"
+
+
 def test_titles_lose_numbers_and_capitals(spark):
     assert one(spark, T.normalize_title(F.col("t")), t="1.2 3. ENERGY IN THE CITY") == "Energy IN THE CITY"
 

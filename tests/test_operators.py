@@ -101,10 +101,10 @@ def test_streams_give_what_batches_give(spark, sf_dir, tmp_path):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     spark.read.parquet(f"{sf_dir}/events.parquet").write.parquet(str(tmp_path / "in"))
     stream = traces.windowed(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
-    assert rows(traces.run_to_end(stream, "w1", str(tmp_path / "c1"), "complete")) == rows(traces.windowed(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    assert rows(traces.run_to_end(stream, str(tmp_path / "w1"), str(tmp_path / "c1"), "complete")) == rows(traces.windowed(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 def test_limits_are_kept_between_samples(spark, tmp_path):
     spark.createDataFrame([("h", i, False, 0.5, 0, 1000) for i in range(3)] + [("h", 3, True, 0.5, 0, 0)], "host string, at long, preempted boolean, kv double, waiting int, used int").coalesce(1).write.parquet(str(tmp_path / "s"))
     s = spark.readStream.schema("host string, at long, preempted boolean, kv double, waiting int, used int").parquet(str(tmp_path / "s"))
-    assert rows(traces.run_to_end(traces.limits(s), "l1", str(tmp_path / "c2")), "at", "limit") == [(0, 72), (1, 80), (2, 88), (3, 70)]
+    assert rows(traces.run_to_end(traces.limits(s), str(tmp_path / "l1"), str(tmp_path / "c2")), "at", "limit") == [(0, 72), (1, 80), (2, 88), (3, 70)]
