@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ TELLS, DEALS = 24, 12
 FLUSH = 16 << 20
 #: Anchors and segment bytes that a shard should have.
 SHARD_ANCHORS, SHARD_BYTES = 1_000_000, 6 << 20
+#: Documents from which an anchor is hot, and hot anchors at most: with more data the bound on documents rises.
+HOT, HOT_KEYS = 5_000, 100_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 #: Bits of an anchor that are kept besides its shard.
@@ -138,18 +141,19 @@ def _document_keys(ids: np.ndarray, texts: list[bytes], shards: int) -> tuple[np
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _shared_here(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order by key, mask in that order of keys that two documents have, of each key's first row)."""
+def _shared_here(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order by key, mask in that order of keys that two documents have, of each key's first row, rows of each key)."""
     order = np.argsort(key, kind="stable")
     k, o = key[order], owner[order]
     lead = np.r_[True, k[1:] != k[:-1]] if len(k) else np.empty(0, bool)
     begin = np.flatnonzero(lead)
     several = np.minimum.reduceat(o, begin) != np.maximum.reduceat(o, begin) if len(k) else np.empty(0, bool)
-    return order, np.repeat(several, np.diff(np.r_[begin, len(k)])), lead
+    rows = np.diff(np.r_[begin, len(k)])
+    return order, np.repeat(several, rows), lead, np.repeat(rows, rows)
 
 
 _PLACES = "id long, key long"
-_PACKED = "shard int, ids binary, low binary, several binary"
+_PACKED = "shard int, ids binary, low binary, docs binary"
 
 
 def keys_shared_here(shards: int):
@@ -158,7 +162,7 @@ def keys_shared_here(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _batches(batches):
             own, key = _document_keys(ids, texts, shards)
-            order, mask, _ = _shared_here(own, key)
+            order, mask, _, _ = _shared_here(own, key)
             at = order[mask]
             for i in range(0, len(at), 50_000):
                 part = at[i : i + 50_000]
@@ -168,13 +172,14 @@ def keys_shared_here(shards: int):
 
 
 def packed_anchors(shards: int):
-    """Packed rows per shard: all anchors that only one document of the batch has, and one of each other anchor."""
+    """Packed rows per shard: all anchors that only one document of the batch has, and one of each other anchor, each with the
+    number of documents of the batch that have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _batches(batches):
             own, key = _document_keys(ids, texts, shards)
-            order, mask, lead = _shared_here(own, key)
-            several = mask[~mask | lead]
+            order, mask, lead, size = _shared_here(own, key)
+            docs = np.where(mask, size, 1)[~mask | lead].astype("<u4")
             keep = order[~mask | lead]  # by key, so by shard
             shard = (key[keep] >> np.uint64(_BITS)).astype(np.int64)
             bounds = np.searchsorted(shard, np.arange(shards + 1))
@@ -184,7 +189,7 @@ def packed_anchors(shards: int):
                 at = slice(bounds[k], bounds[k + 1])
                 # In the order of ids, these compress well, and the anchors don't in any order.
                 by = np.argsort(own[keep[at]], kind="stable")
-                rows.append((int(k), own[keep[at]][by].tobytes(), low[at][by].tobytes(), several[at][by].tobytes()))
+                rows.append((int(k), own[keep[at]][by].tobytes(), low[at][by].tobytes(), docs[at][by].tobytes()))
             for i in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if j == 0 else pa.binary()) for j, c in enumerate(zip(*rows[i : i + 64], strict=True))], [c.split()[0] for c in _PACKED.split(", ")])
 
@@ -195,19 +200,27 @@ def _joined(column: pa.ChunkedArray) -> bytes:
     return b"".join(column.to_pylist())
 
 
-def keys_shared_between(group: pa.Table) -> pa.Table:
-    """Of one shard of packed anchors: those of two documents, without the rows found by keys_shared_here."""
-    ids = np.frombuffer(_joined(group["ids"]), np.int64)
-    low = np.zeros((len(ids), 8), np.uint8)
-    low[:, : _BITS // 8] = np.frombuffer(_joined(group["low"]), np.uint8).reshape(-1, _BITS // 8)
-    key = low.view("<u8").ravel()
-    several = np.frombuffer(_joined(group["several"]), bool)
-    order = np.argsort(key, kind="stable")
-    k, o, s = key[order], ids[order], several[order]
-    begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    shared = (np.minimum.reduceat(o, begin) != np.maximum.reduceat(o, begin)) | np.logical_or.reduceat(s, begin)
-    at = order[np.repeat(shared, np.diff(np.r_[begin, len(k)])) & ~s]
-    return pa.table({"id": pa.array(ids[at]), "key": pa.array(key[at].view(np.int64) | (group["shard"][0].as_py() << _BITS))})
+def keys_shared_between(hot: int):
+    """Of one shard of packed anchors: those of two documents, without the rows found by keys_shared_here, and a row without
+    an id for each anchor of more than hot documents."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids = np.frombuffer(_joined(group["ids"]), np.int64)
+        low = np.zeros((len(ids), 8), np.uint8)
+        low[:, : _BITS // 8] = np.frombuffer(_joined(group["low"]), np.uint8).reshape(-1, _BITS // 8)
+        key = low.view("<u8").ravel()
+        docs = np.frombuffer(_joined(group["docs"]), "<u4")
+        order = np.argsort(key, kind="stable")
+        k, o, n = key[order], ids[order], docs[order]
+        begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        shared = (np.minimum.reduceat(o, begin) != np.maximum.reduceat(o, begin)) | (np.maximum.reduceat(n, begin) > 1)
+        at = order[np.repeat(shared, np.diff(np.r_[begin, len(k)])) & (n == 1)]
+        many = k[begin[np.add.reduceat(n.astype(np.int64), begin) > hot]]
+        full = lambda x: pa.array(x.view(np.int64) | (group["shard"][0].as_py() << _BITS))
+        found = pa.table({"id": pa.array(ids[at]), "key": full(key[at])})
+        return pa.concat_tables([found, pa.table({"id": pa.nulls(len(many), pa.int64()), "key": full(many)})]) if len(many) else found
+
+    return run
 
 
 _SENT = "shard int, ids binary, first binary, windows binary, body binary"
@@ -216,10 +229,14 @@ _COVERED = "id long, first long, windows int"
 PART = 32
 
 
-def cut_segments(tells: int, shards: int):
+def cut_segments(tells: int, shards: int, hot: np.ndarray):
     """From rows (id, text, keys, part) to packed rows: shard -1 for windows covered within the task, else segments to sort.
 
-    first is a window's place in its text, with the text's part number in the bits from PART on. Windows whose anchor isn't among the keys are in no other document. The others are dealt to shards by a second anchor.
+    first is a window's place in its text, with the text's part number in the bits from PART on. Windows whose anchor
+    isn't among the keys are in no other document. The others are dealt to shards by a second anchor, but for windows of a
+    hot anchor: what is left of those when equal segments of the task are settled is dealt window by window, by a hash of
+    the whole window, so that a passage with many documents around it fills no shard. Whether a window is hot depends on
+    its bytes only, so equal windows meet.
     """
     names = [c.split()[0] for c in _SENT.split(", ")]
 
@@ -228,7 +245,7 @@ def cut_segments(tells: int, shards: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if j == 0 else pa.binary()) for j, c in enumerate(zip(*rows[i : i + 16], strict=True))], names)
 
     def cut(ids: list[int], texts: list[bytes], keys: list[np.ndarray], parts: list[int]) -> Iterator[tuple]:
-        """(body, id, first, windows, shard)."""
+        """(body, id, first, windows, shard, flags of its hot windows or None)."""
         for i, j in _groups(texts):
             ends = np.cumsum([len(t) for t in texts[i:j]])
             starts = np.r_[0, ends[:-1]]
@@ -239,25 +256,49 @@ def cut_segments(tells: int, shards: int):
             own = np.searchsorted(ends, first, "right")
             mixed = lambda key, of: (key + of.astype(np.uint64) * _C) * _A  # noqa: E731  key and text as one number
             wanted = mixed(np.concatenate(keys[i:j]).astype(np.int64).view(np.uint64), np.repeat(np.arange(j - i), [len(k) for k in keys[i:j]]))
-            hit = np.isin(mixed(keyed(m[first], tells), own), wanted)
+            anchor = keyed(m[first], tells)
+            hit = np.isin(mixed(anchor, own), wanted)
             mark = np.zeros(len(m) + 1, np.int32)
             np.add.at(mark, first[hit], 1)
             np.add.at(mark, first[hit] + count[hit], -1)
             shared = np.cumsum(mark[:-1]) > 0
+            warm = np.zeros(len(m), bool)
+            if len(hot):
+                busy = hit & np.isin(anchor, hot)
+                mark = np.zeros(len(m) + 1, np.int32)
+                np.add.at(mark, first[busy], 1)
+                np.add.at(mark, first[busy] + count[busy], -1)
+                warm = np.cumsum(mark[:-1]) > 0
             m = anchors(body, DEALS)
             first, count = runs(m, shared, ends)
             own = np.searchsorted(ends, first, "right")
             shard = (m[first] % np.uint64(shards)).astype(np.int64)
             for f, w, o, s in zip(first.tolist(), count.tolist(), own.tolist(), shard.tolist(), strict=True):
-                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]) + (parts[i + o] << PART), w, s
+                flags = warm[f : f + w]
+                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]) + (parts[i + o] << PART), w, s, flags if flags.any() else None
+
+    def spread(x: tuple) -> Iterator[tuple]:
+        """A segment as its hot windows, one by one, and the runs of windows between them."""
+        body, i, first, windows, shard, flags = x
+        if flags is None:
+            yield x[:5]
+            return
+        at = 0
+        for k in [*np.flatnonzero(flags).tolist(), windows]:
+            if k > at:
+                yield body[at : k + LENGTH - 1], i, first + at, k - at, shard
+            if k < windows:
+                one = body[k : k + LENGTH]
+                yield one, i, first + k, 1, xxhash.xxh3_64_intdigest(one) % shards
+            at = k + 1
 
     def flush(ids: list[int], texts: list[bytes], keys: list[np.ndarray], parts: list[int]) -> Iterator[pa.RecordBatch]:
         least: dict[bytes, int] = {}
         held = list(cut(ids, texts, keys, parts))
-        for body, i, _, _, _ in held:
+        for body, i, _, _, _, _ in held:
             if i < least.get(body, i + 1):
                 least[body] = i
-        covered = [(i, first, windows) for body, i, first, windows, _ in held if i > least[body]]
+        covered = [(i, first, windows) for body, i, first, windows, _, _ in held if i > least[body]]
         rows = []
         if covered:
             c = np.array(covered, np.int64)
@@ -265,7 +306,8 @@ def cut_segments(tells: int, shards: int):
         by: dict[int, list[tuple]] = {}
         for x in held:
             if x[1] == least[x[0]]:
-                by.setdefault(x[4], []).append(x)
+                for piece in spread(x):
+                    by.setdefault(piece[4], []).append(piece)
         for shard, found in sorted(by.items()):
             rows.append((shard, np.array([x[1] for x in found], np.int64).tobytes(), np.array([x[2] for x in found], np.int64).tobytes(), np.array([x[3] for x in found], "<u4").tobytes(), b"".join(x[0] for x in found)))
         yield from packed(rows)
@@ -429,12 +471,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     left = with_ids(rows.where("id IS NOT NULL"), copy_ids, "left_anti", part)
     shards = max(16, int(total / 13 / SHARD_ANCHORS) + 1)
     here = left.select("id", "text").mapInArrow(keys_shared_here(shards), _PLACES)
-    between = left.select("id", "text").mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(keys_shared_between, _PLACES)
-    places = staged(here.unionByName(between))
+    most = max(HOT, int(total / 13 / HOT_KEYS))
+    between = left.select("id", "text").mapInArrow(packed_anchors(shards), _PACKED).groupBy("shard").applyInArrow(keys_shared_between(most), _PLACES)
+    found = staged(here.unionByName(between))
+    # At most HOT_KEYS anchors or so, as each has more than that share of all.
+    hot = np.array(sorted(r["key"] for r in found.where("id IS NULL").select("key").collect()), np.int64).view(np.uint64)
+    places = found.where("id IS NOT NULL")
     pieces = max(16, int(places.count() * 70 / SHARD_BYTES) + 1)
     by_id = places.groupBy("id").agg(F.collect_list("key").alias("keys"))
     some = with_ids(left, places.select("id").distinct(), "left_semi").where(F.octet_length("text") >= LENGTH)
-    sent = staged(some.join(by_id, "id").select("id", "text", "keys", "part").mapInArrow(cut_segments(shards, pieces), _SENT))
+    sent = staged(some.join(by_id, "id").select("id", "text", "keys", "part").mapInArrow(cut_segments(shards, pieces, hot), _SENT))
     inner = sent.where("shard < 0").select("ids", "first", "windows").mapInArrow(unpack_covered, _COVERED)
     outer = sent.where("shard >= 0").groupBy("shard").applyInArrow(covered_in_shard, _COVERED)
     covered = inner.unionByName(outer).select("id", F.shiftright("first", PART).cast("int").alias("part"), F.col("first").bitwiseAND((1 << PART) - 1).cast("int").alias("first"), "windows")

@@ -155,7 +155,9 @@ def test_repeats_equal_brute_force(docs):
     assert {r[0]: tuple(r)[1:] for r in substrings.remove_repeats(docs).collect()} == repeats_of(texts_of(docs))
 
 
-def test_repeats_on_periodic_and_overlapping_texts(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_repeats_on_periodic_and_overlapping_texts(spark, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "HOT", hot)
     random.seed(2)
     pool = ["".join(random.choice("ab ") for _ in range(70)) for _ in range(4)] + ["x" * 120, "xy" * 60, "é" * 60]
     texts = {i: "".join(random.choice(pool)[random.randint(0, 20) :] for _ in range(random.randint(0, 5))) for i in range(60)}
@@ -163,6 +165,17 @@ def test_repeats_on_periodic_and_overlapping_texts(spark, monkeypatch):
     assert {r[0]: tuple(r)[1:] for r in substrings.remove_repeats(df).collect()} == repeats_of(texts)
 
 
+def test_a_passage_in_many_documents_is_dealt_window_by_window(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT", 20)
+    random.seed(4)
+    noise = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage = noise(160)
+    edges = [noise(30) for _ in range(5)]  # some documents share more than the passage
+    texts = {i: noise(60) + random.choice(edges) + passage + random.choice(edges) + noise(60) for i in range(120)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r[0]: tuple(r)[1:] for r in substrings.remove_repeats(df).collect()} == repeats_of(texts)
+
+
 def test_repeats_on_awkward_rows(awkward, nothing):
     got = [tuple(r) for r in substrings.remove_repeats(awkward).collect()]
     assert len(got) == 13 and substrings.remove_repeats(nothing).count() == 0
