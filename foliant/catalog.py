@@ -12,7 +12,7 @@ from foliant import registry
 MODULES = (
     "operators.versions", "operators.values", "operators.evaluation", "operators.telemetry",
     "operators.retrieval", "operators.texts", "operators.graph", "operators.verification",
-    "operators.folds", "operators.layout", "operators.refinement", "operators.corpus", "operators.claims", "operators.lookup", "operators.reports", "operators.structure", "operators.store", "operators.profiles", "plans.flow",
+    "operators.folds", "operators.layout", "operators.refinement", "operators.corpus", "operators.claims", "operators.lookup", "operators.reports", "operators.structure", "operators.store", "operators.profiles", "operators.tools", "plans.chat", "plans.flow",
     "streaming.traces", "sources.readers", "sources.writers",
 )
 

@@ -440,3 +440,45 @@ def loads_object(text: Column) -> Column:
     """A text that is one JSON object as variant, else null."""
     v = F.try_parse_json(text)
     return F.when(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), v)
+
+
+def rescued(text: Column, key: str) -> Column:
+    """The complete entries, as JSON texts, of the list `key` of a reply that was cut off; null where there is none.
+
+    A fold over the characters keeps depth and strings; an entry ends where the depth is back at the list's own.
+    """
+    tail = F.regexp_extract(F.coalesce(text, F.lit("")), "(?s)\"" + key + "\"\\s*:\\s*\\[(.*)$", 1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(False).alias("done"), F.lit("").alias("now"), F.array().cast("array<string>").alias("out"))
+
+    def step(a: Column, c: Column) -> Column:
+        quoted, depth = a["quoted"], a["depth"]
+        flips = (c == '"') & ~a["escaped"]
+        opens, closes = ~quoted & c.isin("{", "["), ~quoted & c.isin("}", "]")
+        ends = ~quoted & (depth == 0) & c.isin(",", "]")
+        after = F.when(opens, depth + 1).when(closes, depth - 1).otherwise(depth)
+        kept = F.when(ends & (F.trim(a["now"]) != ""), F.concat(a["out"], F.array(F.trim(a["now"])))).otherwise(a["out"])
+        moved = F.struct(after.alias("depth"), F.when(flips, ~quoted).otherwise(quoted).alias("quoted"), (quoted & (c == "\\") & ~a["escaped"]).alias("escaped"), (~quoted & (depth == 0) & (c == "]")).alias("done"),
+                         F.when(ends, "").otherwise(F.concat(a["now"], c)).alias("now"), kept.alias("out"))
+        return F.when(a["done"], a).otherwise(moved)
+
+    # An object or text that is whole at the cut counts; a bare number or word might go on.
+    last = lambda a: F.when(~a["done"] & (a["depth"] == 0) & ~a["quoted"] & F.trim(a["now"]).rlike(r'[}\]"]$'), F.concat(a["out"], F.array(F.trim(a["now"])))).otherwise(a["out"])
+    return let(F.aggregate(F.split(tail, ""), start, step, last), lambda out: F.when((tail != "") & (F.size(out) > 0), out))
+
+
+def reply_cause(text: Column, thought: Column, ran_out: Column, key: str) -> Column:
+    """Why a reply can't be used, null if it is one JSON object with the key: cut_off, reasoning_only, empty, no_object,
+    not_an_object, outside_text, syntax or missing_key."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+
+    def judge(x: Column) -> Column:
+        v = F.try_parse_json(x)
+        whole = F.when(v.isNotNull(), F.schema_of_variant(v))
+        inner = F.try_parse_json(F.regexp_extract(x, r"(?s)(\{.*\})", 1))
+        return (
+            F.when((x == "") & (F.coalesce(F.trim(thought), F.lit("")) != ""), "reasoning_only").when((x == "") & ran_out, "cut_off").when(x == "", "empty")
+            .when(F.startswith(whole, F.lit("OBJECT")), F.when(F.variant_get(v, "$." + key, "variant").isNull(), "missing_key"))
+            .when(v.isNotNull(), "not_an_object").when(ran_out, "cut_off").when(~F.contains(x, F.lit("{")), "no_object").when(inner.isNotNull(), "outside_text").otherwise("syntax")
+        )
+
+    return let(t, judge)

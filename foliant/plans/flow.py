@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.conditions import Facts, compile_condition, problems
-from foliant.operators.retrieval import best_of_each, fuse
+from foliant.operators import claims, verification
+from foliant.operators.lookup import reordered
+from foliant.operators.retrieval import best_of_each, bm25, fuse, postings, top
+from foliant.operators.texts import sections
 from foliant.registry import query
 from foliant.session import table
-from foliant.staging import discard, staged
+from foliant.staging import checked, discard, staged
 
 Box = Callable[[DataFrame, dict], DataFrame]
 BOXES: dict[str, Box] = {}
@@ -24,7 +27,7 @@ NEEDS: dict[str, tuple[str, ...]] = {}
 
 def box(*needs: str) -> Callable[[Box], Box]:
     def keep(f: Box) -> Box:
-        BOXES[f.__name__.rstrip("_")], NEEDS[f.__name__.rstrip("_")] = f, needs
+        BOXES[f.__name__.rstrip("_")], NEEDS[f.__name__.rstrip("_")] = f, needs  # a trailing _ keeps a name apart
         return f
 
     return keep
@@ -102,10 +105,95 @@ def round_(df: DataFrame, s: dict) -> DataFrame:
     return df
 
 
+@box("table", "on")
+def beside(df: DataFrame, s: dict) -> DataFrame:
+    """Columns of a table beside the rows, by a left join; a small table is broadcast when counted."""
+    return df.join(checked(s["table"]), s["on"], "left")
+
+
+@box("spec")
+def check_value_(df: DataFrame, s: dict) -> DataFrame:
+    """Type, unit and vocabulary of claimed values; refused ones stay, with their refusal."""
+    return claims.check_value(df, s["spec"])
+
+
+@box()
+def check(df: DataFrame, s: dict) -> DataFrame:
+    """Claims against their quotes and sources."""
+    return verification.verify(df, s.get("decimal", "."))
+
+
+@box("address", "value", "tolerance")
+def settle(df: DataFrame, s: dict) -> DataFrame:
+    return verification.settle(df, s["address"], s["value"], s["tolerance"])
+
+
+@box("event", "name")
+def state(df: DataFrame, s: dict) -> DataFrame:
+    """The state that an event column ends in."""
+    return df.withColumn(s["name"], claims.state_for(F.col(s["event"])))
+
+
+@box("recorded", "key")
+def ask(df: DataFrame, s: dict) -> DataFrame:
+    """The recorded answers to the rows' requests, by key; a request that was never recorded has none."""
+    return df.join(s["recorded"], s["key"], "left")
+
+
+@box("passages", "question", "words")
+def retrieve(df: DataFrame, s: dict) -> DataFrame:
+    """The best passages of each row's question by words."""
+    scores = bm25(df, s["question"], s["words"], postings(s["passages"], "key", "title", "text"), "key")
+    return top(scores.withColumn("score", F.round("score", 6)), [s["question"]], "score", "key", s.get("top", 10))
+
+
+@box("by", "rank", "score", "pool")
+def rerank(df: DataFrame, s: dict) -> DataFrame:
+    return reordered(df.withColumn("in_pool", F.col(s["rank"]) <= s["pool"]), s["by"], s["rank"], s["score"]).drop("in_pool")
+
+
+@box("text", "key")
+def split(df: DataFrame, s: dict) -> DataFrame:
+    """A row per line of a text."""
+    return sections(df, s["key"], s["text"])
+
+
+@box("run", "schema")
+def python(df: DataFrame, s: dict) -> DataFrame:
+    """A function of one's own over Arrow batches as pandas frames: run(frame) gives a frame of the schema."""
+    run = s["run"]
+    return df.mapInPandas(lambda frames: (run(f) for f in frames), s["schema"])
+
+
+@box("path")
+def write(df: DataFrame, s: dict) -> DataFrame:
+    """The rows as Parquet; a folder that is there is replaced by a new one when it is whole."""
+    df.write.mode("overwrite").parquet(s["path"])
+    return df.sparkSession.read.schema(df.schema).parquet(s["path"])
+
+
+#: Columns that a box adds, by the settings that name them or outright; boxes that give another table name all of it.
+ADDS = {"set": ["name"], "each": ["name"], "merge": ["name"], "order": ["rank"], "state": ["name"]}
+GIVES = {"check": {"reason", "status", "tier", "flags"}, "check_value": {"refusal", "flags", "value_target", "value_uri", "unit", "unit_raw"}, "rerank": {"place"}}
+
+
+def availability(boxes: list[dict], columns: set[str]) -> list[set[str]]:
+    """The columns that are there before each box, by data-flow: what a box reads later must be among them."""
+    out, there = [], set(columns)
+    for b in boxes:
+        out.append(set(there))
+        there |= {b[k] for k in ADDS.get(b.get("box"), []) if k in b} | GIVES.get(b.get("box"), set())
+        ways = [*(w.get("boxes", []) for w in b.get("ways", [])), b.get("else", [])] if "ways" in b else [b["boxes"]] if "boxes" in b else []
+        for inner in ways:
+            for x in inner:
+                there |= {x[k] for k in ADDS.get(x.get("box"), []) if k in x}
+    return out
+
+
 def flow_problems(boxes: list[dict], columns: set[str], where: str = "flow") -> list[str]:
-    """Unknown boxes and missing settings, before anything runs."""
+    """Unknown boxes, missing settings, and conditions about columns that aren't there yet, before anything runs."""
     out = []
-    for i, b in enumerate(boxes):
+    for i, (b, there) in enumerate(zip(boxes, availability(boxes, columns), strict=True)):
         at = f"{where}[{i}]"
         name = b.get("box")
         if name not in BOXES:
@@ -113,10 +201,10 @@ def flow_problems(boxes: list[dict], columns: set[str], where: str = "flow") ->
             continue
         out += [f"{at}: {name} needs {n}" for n in NEEDS[name] if n not in b]
         for part in [b.get("boxes", []), b.get("else", []), *(w.get("boxes", []) for w in b.get("ways", []))]:
-            out += flow_problems(part, columns, at)
-        if name == "filter" and "when" in b:
-            known = {("var", c): ("var", F.lit(0)) for c in columns | {x.get("name") for x in boxes[:i]} | {x.get("rank") for x in boxes[:i]}}
-            out += problems(b["when"], known, at)
+            out += flow_problems(part, there, at)
+        known = {("var", c): ("var", F.lit(0)) for c in there}
+        for condition in [b["when"]] if name == "filter" and "when" in b else [w["when"] for w in b.get("ways", []) if "when" in w]:
+            out += problems(condition, known, at)
     return out
 
 
@@ -164,3 +252,20 @@ def rrf_fuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = run_flow(d, [{"box": "order", "by": ["lang"], "order": ["n_chars", "doc_id"], "falling": ["n_chars"], "rank": "rank"}]).where("rank <= 8")
     two = run_flow(d, [{"box": "order", "by": ["lang"], "order": ["doc_id"], "rank": "rank"}]).where("rank <= 8")
     return fuse([one, two], ["lang", "doc_id"]).select("lang", "doc_id", "score")
+
+
+@query("""
+    WITH s AS (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
+    a AS (SELECT doc_id, pos, length(line) AS n, CASE pos % 4 WHEN 0 THEN 'skipped' WHEN 1 THEN 'refused' ELSE 'other' END AS event FROM s WHERE length(line) >= 40)
+    SELECT doc_id, pos, CASE event WHEN 'skipped' THEN 'unanswered' WHEN 'refused' THEN 'unbacked' END AS state, CASE WHEN pos % 2 = 0 THEN 'known' END AS answer FROM a
+""")
+def flow_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drawing that splits texts, filters lines, asks recorded answers and sets states."""
+    recorded = spark.createDataFrame([(0, "known")], "even long, answer string")
+    drawing = [
+        {"box": "split", "key": "doc_id", "text": "text"}, {"box": "set", "name": "n", "value": "length(line)"},
+        {"box": "filter", "when": {"all": [{"of": "var", "is": "n", "op": "at_least", "value": 40}]}},
+        {"box": "set", "name": "event", "value": "CASE pos % 4 WHEN 0 THEN 'skipped' WHEN 1 THEN 'refused' ELSE 'other' END"},
+        {"box": "state", "event": "event", "name": "state"}, {"box": "set", "name": "even", "value": "pos % 2"}, {"box": "ask", "recorded": recorded, "key": "even"},
+    ]
+    return run_flow(table(spark, sf_dir, "documents").select("doc_id", "text"), drawing).select("doc_id", "pos", "state", "answer")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.text import parse_date
 from foliant.registry import query
-from foliant.session import table
+from foliant.session import ship_package, table
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -41,6 +45,110 @@ def ntriples(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(g(1).alias("s"), g(2).alias("p"), F.when(g(3) != "", g(3)).otherwise(g(4)).alias("o"), (g(3) == "").alias("literal"))
 
 
+_TURTLE = re.compile(
+    r'''(?P<space>\s+)|(?P<comment>\#[^\n]*)|(?P<prefix>@prefix\b|@base\b|PREFIX\b|BASE\b)|(?P<iri><[^>]*>)|(?P<long>"""(?:[^"\\]|\\.|"(?!""))*""")|(?P<text>"(?:[^"\\\n]|\\.)*")'''
+    r'''|(?P<tag>\^\^|@[A-Za-z]+(?:-[A-Za-z0-9]+)*)|(?P<number>[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?(?=[\s;,.\])]))|(?P<mark>[;,.\[\]()])|(?P<name>[^\s;,\[\]()<>"]*[^\s;,\[\]()<>".]|:)''',
+    re.DOTALL,
+)
+_ESCAPES = {"t": "\t", "n": "\n", "r": "\r", '"': '"', "\\": "\\"}
+TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+
+
+def parse_turtle(text: str) -> list[tuple[str, str, str, bool, str | None]]:
+    """(s, p, o, literal, comment) of a Turtle text: prefixes, lists of predicates and objects, literals with tags, blank nodes in
+    brackets. comment holds the comment lines right above a subject. Collections in parentheses are refused."""
+    prefixes: dict[str, str] = {}
+    out: list[tuple] = []
+    tokens = [(m.lastgroup, m.group()) for m in _TURTLE.finditer(text) if m.lastgroup != "space"]
+    at, blank, remark = 0, 0, []
+
+    def term(kind: str, raw: str) -> tuple[str, bool]:
+        if kind == "iri":
+            body = raw[1:-1]
+            return (body if ":" in body else prefixes.get("@base", "") + body), False
+        if kind in ("text", "long"):
+            body = raw[3:-3] if kind == "long" else raw[1:-1]
+            return re.sub(r"\\(u[0-9A-Fa-f]{4}|.)", lambda m: chr(int(m.group(1)[1:], 16)) if m.group(1)[0] == "u" and len(m.group(1)) == 5 else _ESCAPES.get(m.group(1), m.group(1)), body), True
+        if kind == "number" or raw in ("true", "false"):
+            return raw, True
+        if raw == "a":
+            return TYPE, False
+        prefix, _, local = raw.partition(":")
+        if prefix == "_":
+            return raw, False
+        if prefix not in prefixes:
+            raise ValueError(f"no prefix {prefix}")
+        return prefixes[prefix] + local, False
+
+    def objects(subject: str, note: str | None, stop: str) -> None:
+        """Predicates and objects up to the stop mark."""
+        nonlocal at, blank
+        predicate = None
+        while True:
+            kind, raw = tokens[at]
+            at += 1
+            if kind == "comment":
+                continue
+            if kind == "mark" and raw == stop:
+                return
+            if kind == "mark" and raw == ";":
+                predicate = None
+            elif kind == "mark" and raw == "[":
+                blank += 1
+                node = f"_:b{blank}"
+                out.append((subject, predicate, node, False, note))
+                objects(node, None, "]")
+            elif kind == "mark" and raw == "(":
+                raise ValueError("collections are not read")
+            elif kind == "tag":
+                if raw == "^^":
+                    at += 1
+            elif kind != "mark":
+                value, literal = term(kind, raw)
+                if predicate is None:
+                    predicate = value
+                else:
+                    out.append((subject, predicate, value, literal, note))
+
+    while at < len(tokens):
+        kind, raw = tokens[at]
+        at += 1
+        if kind == "comment":
+            remark.append(raw[1:].strip())
+        elif kind == "prefix":
+            base = raw.lower().lstrip("@") == "base"
+            name = "@base" if base else tokens[at][1].rstrip(":")
+            prefixes[name] = tokens[at + (not base)][1][1:-1]
+            at += 1 + (not base)
+            if at < len(tokens) and tokens[at] == ("mark", "."):
+                at += 1
+            remark = []
+        elif kind == "mark" and raw == "[":
+            blank += 1
+            objects(f"_:b{blank}", None, "]")
+            objects(f"_:b{blank}", None, ".")
+        else:
+            subject, _ = term(kind, raw)
+            objects(subject, "\n".join(remark) or None, ".")
+            remark = []
+    return out
+
+
+def turtle_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, s, p, o, literal, comment) of the Turtle files below a folder; a file is read whole by one task."""
+    ship_package(spark)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.ttl").text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(f, *t) for f, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for t in parse_turtle(text or "")]
+            for i in range(0, len(rows), 20_000):
+                kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000], strict=True), kinds, strict=True)], ["file", "s", "p", "o", "literal", "comment"])
+
+    return files.mapInArrow(run, "file string, s string, p string, o string, literal boolean, comment string")
+
+
 def cassette(requests: DataFrame, recorded: DataFrame, model) -> DataFrame:
     """Answers of a model: recorded ones by key, others asked once per distinct key through model(keys DataFrame)."""
     known = requests.join(recorded, "key", "left")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.functions import text as T
-from foliant.functions.conditions import compile_condition, problems
+from foliant.functions.conditions import compile_condition, language_facts, language_problems, problems, sentence
 from foliant.operators.evaluation import wilson
 from foliant.operators.refinement import correct
 from foliant.operators.versions import filename_for
@@ -119,3 +119,33 @@ def test_edits_must_occur_once_and_not_shrink():
 def test_limit_controller_shrinks_and_grows():
     assert decide(100, False, 0.95, 0, 100) == 80 and decide(16, True, 0.1, 0, 0) == 16
     assert decide(100, False, 0.5, 0, 100) == 108 and decide(100, False, 0.5, 0, 50) == 100 and decide(510, False, 0.5, 0, 510) == 512
+
+
+def test_whole_entries_of_a_cut_list(spark):
+    t = '{"x": 1, "items": [{"a": "b], {"}, "two", [3, 4], {"cut": '
+    assert one(spark, T.rescued(F.col("t"), "items"), t=t) == ['{"a": "b], {"}', '"two"', "[3, 4]"] and one(spark, T.rescued(F.col("t"), "none"), t=t) is None
+    assert one(spark, T.rescued(F.col("t"), "items"), t='{"items": [1, 2], "more": [3]}') == ["1", "2"] and one(spark, T.rescued(F.col("t"), "items"), t='{"items": [12') is None
+
+
+@pytest.mark.parametrize(("text", "thought", "cut", "cause"), [
+    ('{"a": 1}', None, False, None), ('{"b": 1}', None, False, "missing_key"), ("", "hm", False, "reasoning_only"), ("", "", True, "cut_off"), (" ", None, False, "empty"), ('{"a": [1', None, True, "cut_off"),
+    ('{"a": [1', None, False, "syntax"), ("none", None, False, "no_object"), ("[1]", None, False, "not_an_object"), ('so: {"a": 1}', None, False, "outside_text"),
+])
+def test_causes_of_unusable_replies(spark, text, thought, cut, cause):
+    df = spark.createDataFrame([(text, thought, cut)], "t string, h string, c boolean")
+    assert df.select(T.reply_cause(F.col("t"), F.col("h"), F.col("c"), "a")).first()[0] == cause
+
+
+def test_the_language_of_conditions(spark):
+    good = {"all": [{"of": "quote", "is": "length", "op": "less", "value": 20}, {"of": "coordinate", "is": "state", "op": "one_of", "value": ["open", "none"]}, {"of": "line", "is": "heading", "not": True}, {"of": "var", "is": "n"}]}
+    assert language_problems(good) == [] and language_problems(good, {"quote", "coordinate", "line", "var:n"}) == []
+    assert language_problems(good, {"quote", "coordinate", "line"}) == ["var:n is not known here"]
+    assert sentence(good) == "when the quote's length is less than 20 and the coordinate's state is one of open or none and not the line's heading and n"
+    bad = [{"of": "quote", "is": "size", "op": "is", "value": 1}, {"of": "quote", "is": "length", "op": "less", "value": "x"}, {"of": "chunk", "is": "kind", "op": "one_of", "value": ["page"]}, {"of": "line", "is": "heading", "op": "is", "value": 1},
+           {"of": "value", "is": "words", "op": "contains"}, {"of": "value", "is": "words", "op": "contains", "value": 3}, {"of": "quote", "is": "length", "op": "is", "value": 1, "x": 2}]
+    assert len(language_problems({"any": bad})) == len(bad) and language_problems({"all": []}) and language_problems({"all": [], "any": []})
+    assert language_problems({"all": [{"of": "field", "is": "kind", "op": "one_of", "value": ["money"]}]}, None, {"field.kind": ["money"]}) == []
+    df = spark.createDataFrame([(10, "unbacked", False, "x_1"), (30, None, False, "0"), (10, None, True, ""), (10, None, False, "7")], "q int, s string, h boolean, n string")
+    facts = language_facts({"quote.length": F.col("q"), "coordinate.state": F.col("s"), "line.heading": F.col("h"), "var.n": F.col("n")})
+    assert [r[0] for r in df.select(compile_condition(good, facts)).collect()] == [True, False, False, True]
+    assert [r[0] for r in df.select(compile_condition({"all": [{"of": "var", "is": "n", "op": "term"}]}, facts)).collect()] == [True, False, False, False]

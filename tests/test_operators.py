@@ -1,9 +1,13 @@
 """Operators on a few rows whose answers are plain."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
-from foliant.operators import evaluation, folds, graph, layout, refinement, retrieval, values, verification, versions
-from foliant.plans.flow import flow_problems, run_flow
+from foliant.operators import evaluation, folds, graph, layout, refinement, retrieval, store, tools, values, verification, versions
+from foliant.plans import chat
+from foliant.plans.flow import availability, flow_problems, run_flow
 from foliant.sources import readers, writers
 from foliant.streaming import traces
 
@@ -108,3 +112,70 @@ def test_limits_are_kept_between_samples(spark, tmp_path):
     spark.createDataFrame([("h", i, False, 0.5, 0, 1000) for i in range(3)] + [("h", 3, True, 0.5, 0, 0)], "host string, at long, preempted boolean, kv double, waiting int, used int").coalesce(1).write.parquet(str(tmp_path / "s"))
     s = spark.readStream.schema("host string, at long, preempted boolean, kv double, waiting int, used int").parquet(str(tmp_path / "s"))
     assert rows(traces.run_to_end(traces.limits(s), str(tmp_path / "l1"), str(tmp_path / "c2")), "at", "limit") == [(0, 72), (1, 80), (2, 88), (3, 70)]
+
+
+def test_chat_steps_are_checked_before_they_run():
+    assert chat.chat_problems([{"step": "search", "into": "hits"}, {"step": "nothing"}, {"step": "pack", "budget": 9}, {"step": "fuse", "rankings": ["hits", "other"]}], {"questions", "passages"}) == ["[1]: unknown step nothing", "[3]: fuse reads other, which is not there yet"]
+
+
+def test_tools_answer_messages(spark, sf_dir):
+    store = tools.demo_store(spark, sf_dir)
+    said = json.loads(tools.respond(store, json.dumps({"id": 1, "method": "tools/call", "params": {"name": "get_value", "arguments": {"id": "none"}}})))
+    assert said["result"] == {"content": [{"type": "text", "text": "[]"}], "isError": False}
+    assert json.loads(tools.respond(store, '{"id": 2, "method": "tools/call", "params": {"name": "get_value", "arguments": {"x": 1}}}'))["result"]["isError"]
+    assert len(json.loads(tools.respond(store, '{"id": 3, "method": "tools/list"}'))["result"]["tools"]) == 8 and tools.respond(store, '{"method": "x"}') is None
+    assert "error" in json.loads(tools.respond(store, "{")) and json.loads(tools.respond(store, '{"id": 4, "method": "x"}'))["error"]["code"] == -32601
+    with pytest.raises(tools.BadRequest):
+        tools.answer(store, "/find_values", "parameter=A&parameter=B")
+
+
+def test_document_files_become_tables(spark, tmp_path):
+    (tmp_path / "d1").mkdir()
+    box = [0.0, 1.0, 2.0, 3.0]
+    made = {"sections": [{"title": "T", "content": '["a", "b [p1_t0]"]', "page_number": 2, "pages": [2, 3, 2], "segments": [{"page": 2, "kind": "text", "text": "a", "bbox": box}, {"page": 3, "kind": "table", "ref": "p1_t0"}], "tables": [{"id": "p1_t0", "path": "", "page_number": 3, "caption": "C", "body": "| x |", "bbox": box}]}]}
+    (tmp_path / "d1" / "document.json").write_text(json.dumps(made))
+    t = store.to_tables(store.read_documents(spark, str(tmp_path)))
+    assert rows(t["sections"]) == [("d1", 0, "T", "a\nb [p1_t0]", 2)] and rows(t["section_pages"], "page") == [(2,), (3,)] and t["segments"].count() == 2 and rows(t["items"], "block_id", "caption") == [("p1_t0", "C")]
+    found = {(r["embedding_type"], r["text"]) for r in store.embedding_inputs(t["sections"], t["items"]).collect()}
+    assert found == {("section_text", "T\na\nb C"), ("section_title", "T"), ("table_text", "C\n| x |")}
+    now = store.fingerprint(t["segments"], "document", "text")
+    assert [store.index_state(s, now).first()[0] for s in (None, "x", now.first()["digest"])] == ["missing", "stale", "current"]
+
+
+def test_turtle_is_read_whole(spark, tmp_path):
+    text = """@prefix ex: <http://e/> .
+PREFIX x: <http://x/>
+# trust: B
+# one more
+ex:a a ex:T ; ex:p "say \\"x\\" \\u00e9"@de , 4.5 ; x:q [ ex:r ex:b ; ex:n true ] .
+<http://e/c> ex:d <f> ; ex:l \"\"\"two
+lines\"\"\"^^ex:text .
+"""
+    (tmp_path / "g.ttl").write_text(text)
+    got = {tuple(r)[1:] for r in readers.turtle_files(spark, str(tmp_path)).collect()}
+    note, e = "trust: B\none more", "http://e/"
+    assert got == {(e + "a", readers.TYPE, e + "T", False, note), (e + "a", e + "p", 'say "x" é', True, note), (e + "a", e + "p", "4.5", True, note), (e + "a", "http://x/q", "_:b1", False, note),
+                   ("_:b1", e + "r", e + "b", False, None), ("_:b1", e + "n", "true", True, None), (e + "c", e + "d", "f", False, None), (e + "c", e + "l", "two\nlines", True, None)}
+    with pytest.raises(ValueError):
+        readers.parse_turtle("<a> <b> (1 2) .")
+
+
+def test_tables_are_swapped_whole(spark, tmp_path):
+    path, old = str(tmp_path / "t"), str(tmp_path / "past" / "t1")
+    first = writers.swap(spark.createDataFrame([(1,)], "a int"), path)
+    second = writers.swap(first.withColumn("a", F.col("a") + 1), path, old)
+    assert rows(second) == [(2,)] and rows(spark.read.parquet(old)) == [(1,)] and not (tmp_path / "t.old").exists()
+    writers.swap(spark.createDataFrame([(3,)], "a int"), path)
+    assert rows(spark.read.parquet(path)) == [(3,)]
+    asked = spark.sql("SELECT 'q' AS question, 'a' AS answer, timestamp'2024-05-06 07:08:09' AS asked_at")
+    writers.log_requests(asked, str(tmp_path / "log"))
+    writers.log_requests(asked, str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+
+
+def test_flows_know_what_is_there(spark):
+    drawing = [{"box": "set", "name": "x", "value": "1"}, {"box": "filter", "when": {"all": [{"of": "var", "is": "x", "op": "is", "value": 1}]}}, {"box": "filter", "when": {"all": [{"of": "var", "is": "y", "op": "is", "value": 1}]}}, {"box": "check_value"}]
+    assert availability(drawing, {"a"}) == [{"a"}, {"a", "x"}, {"a", "x"}, {"a", "x"}]
+    assert flow_problems(drawing, {"a"}) == ["flow[2].all[0]: unknown property var.y", "flow[3]: check_value needs spec"]
+    d = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert rows(run_flow(d, [{"box": "python", "run": lambda f: f.assign(b=f.b * 2), "schema": "a int, b int"}, {"box": "beside", "table": spark.createDataFrame([(1, "z")], "a int, c string"), "on": "a"}])) == [(1, 4, "z")]
