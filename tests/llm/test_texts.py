@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -404,3 +405,70 @@ def test_toxicity_weights_count_every_labelled_document(spark, sf_dir):
     y = np.array([*(t for _, t in each), 0], float)
     w = toxicity.logistic(x, y, np.ones(len(y)))
     assert model.weights == pytest.approx([w[0], *(max(v, 0.0) for v in w[1:])], rel=1e-6)
+
+
+def plain_score(text, model):
+    """The score of a text, every word compared with every term by a table of distances."""
+    raw = (text or "").split()
+    strip = lambda w: regex.sub(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "", w.lower())
+    opening, closing = "\"\u201c\u201e\u00ab\u00bb\u2018\u201a", "\"\u201d\u201c\u00bb\u00ab\u2019"
+    exact = near = 0.0
+    for i, w in enumerate(raw):
+        plain = strip(w)
+        if plain in model.innocent:
+            continue
+        found = []
+        for term, weight in model.terms.items():
+            allowed = 0 if len(term) < 4 else 1 if len(term) < 12 else 2
+            if abs(len(plain) - len(term)) <= allowed and (d := distance(plain, term)) <= allowed:
+                found.append((d, -weight, term))
+        if not found:
+            continue
+        d, weight, _ = min(found)
+        around = raw[max(0, i - 5) : i + 6]
+        opened = any(x[0] in opening for x in raw[max(0, i - 5) : i + 1])
+        ends = [x.rstrip(".,;:!?")[-1:] for x in raw[i : i + 6]]
+        closed = any(x and x in closing for x in ends)
+        quoted = (opened and closed) or ((opened or closed) and any(strip(x) in toxicity.REPORTING for x in around))
+        weight = -weight * (0.35 if quoted else 1.0)
+        if d:
+            near += weight / (1 + d)
+        else:
+            exact += weight
+    x = (np.log1p(exact), np.log1p(near), min(1.0, (exact + near) * 100 / max(20, len(raw)) / 5))
+    return 1 / (1 + np.exp(-(model.weights[0] + np.dot(model.weights[1:], x))))
+
+
+def test_toxicity_scores_equal_plain_ones(spark, docs, awkward):
+    terms = {"idiot": 1.0, "loser": 0.9, "scum": 0.8, "disgusting": 1.0, "the": 0.3, "verlichung": 0.7, "worthlesspeople": 0.6}
+    model = toxicity.Model(terms, frozenset({"them", "schum"}), [-2.0, 2.5, 1.5, 1.0])
+    made = ['he said "you idiiot" and left', "sccum scum losers", "worthles people worthlespeoplle", "\u201eidiot\u201c", "schum them teh", None, ""]
+    extra = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(made)], "doc_id long, text string")
+    some = docs.where("n_chars < 3000").select("doc_id", "text").unionByName(extra).unionByName(awkward.where("length(text) < 1000 OR text IS NULL").select("doc_id", "text"))
+    texts = Counter((r["doc_id"], r["text"]) for r in some.collect())
+    wanted = sorted((str(i), round(float(plain_score(t, model)), 9)) for (i, t), n in texts.items() for _ in range(n))
+    assert sorted((str(r["doc_id"]), round(r["score"], 9)) for r in toxicity.score(some, model).collect()) == wanted
+
+
+def test_contexts_are_counted_as_plain_pairs(docs):
+    rows = docs.select((F.col("doc_id") % 3 == 0).cast("int").alias("toxic"), "text")
+    pairs = defaultdict(lambda: [0, 0])
+    for r in rows.collect():
+        words = [w for w in (regex.sub(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "", w) for w in regex.split(r"[\x20\x09-\x0D]+", r["text"].lower())) if w]
+        for before, word in zip(["", *words], words, strict=False):
+            pairs[word, before][1 - r["toxic"]] = 1
+    wanted = defaultdict(lambda: [0, 0])
+    for (word, _), (t, c) in pairs.items():
+        wanted[word][0] += t
+        wanted[word][1] += c
+    assert {r["word"]: [r["t"], r["c"]] for r in toxicity.context_counts(rows).collect()} == dict(wanted)
+
+
+def test_stages_on_awkward_rows(spark, awkward, nothing):
+    model = toxicity.Model({"stupid": 1.0})
+    clash = awkward.withColumn("score", F.lit("x")).withColumn("held_out", F.lit("y"))
+    got = toxicity.without_toxic(clash, model)
+    assert got.columns == clash.columns and got.count() == 13 and toxicity.without_toxic(nothing, model).count() == 0 and {r["score"] for r in got.collect()} == {"x"}
+    assert mixing.mixed(nothing).count() == 0
+    counts = Counter((r["doc_id"], r["n_tokens"]) for r in wordpiece.token_counts(awkward.unionByName(awkward)).collect())
+    assert len(counts) == 12 and all(n % 2 == 0 for n in counts.values()) and max(n for _, n in counts) > 20_000
