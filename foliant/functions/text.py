@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +18,10 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+#: Where compatibility characters stand that become several: fractions, the ellipsis, letter-like signs, units, ligatures.
+SPREAD = (range(0xBC, 0xBF), range(0x2026, 0x2027), range(0x2100, 0x2190), range(0x3380, 0x33E0), range(0xFB00, 0xFB07))
+
+
 def _compatible() -> tuple[dict[str, str], dict[str, str]]:
     """Compatibility characters of the basic plane by what Unicode's NFKC makes of them: one character, or several."""
     one, more = {}, {}
@@ -28,7 +31,7 @@ def _compatible() -> tuple[dict[str, str], dict[str, str]]:
         if n != c and c not in SAME:
             if len(n) == 1:
                 one[c] = SAME.get(n, n)
-            elif code in range(0xFB00, 0xFB07) or code in range(0x2100, 0x2190) or code in range(0x3380, 0x33E0) or code in (0x2026, 0xBC, 0xBD, 0xBE):
+            elif any(code in r for r in SPREAD):
                 more[c] = n
     return one, more
 
@@ -42,8 +45,10 @@ def nfkc(text: Column) -> Column:
     Characters are mapped one by one; combining marks are left as they are.
     """
     plain = F.translate(text, "".join(_ONE), "".join(_ONE.values()))
-    spread = reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(kv[1])), _MORE.items(), plain)
-    return F.when(plain.rlike("[" + "".join(_MORE) + "]"), spread).otherwise(plain)
+    # One array of pairs that only a text with such a character walks; nested calls would outgrow generated code.
+    pairs = F.split(F.lit("\u0001".join(f"{c}\u0002{n}" for c, n in _MORE.items())), "\u0001")
+    spread = F.aggregate(pairs, plain, lambda t, p: F.replace(t, F.substring(p, 1, 1), F.substring_index(p, "\u0002", -1)))
+    return F.when(plain.rlike("[" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for r in SPREAD) + "]"), spread).otherwise(plain)
 
 
 def flat(text: Column) -> Column:
@@ -85,7 +90,9 @@ def canonical_number(text: Column, decimal: str = ".") -> Column:
         return let(let(bare, read), lambda n: F.when(minus & (n != "0"), F.concat(F.lit("-"), n)).otherwise(n))
 
     spaced = F.translate(F.trim(text), "–−", "--")
-    return let(F.when(spaced.rlike(r"\s|'"), F.regexp_replace(spaced, r"(?<=\d)[\s\u00a0\u202f\u2009'](?=\d{3}(\D|$))", "")).otherwise(spaced), signed)
+    bare = lambda t: F.when(t.rlike(r"\s|'"), F.regexp_replace(t, r"(?<=\d)[\s\u00a0\u202f\u2009'](?=\d{3}(\D|$))", "")).otherwise(t)
+    # Most printed numbers are plain whole ones and need no reading.
+    return let(spaced, lambda t: F.when(t.rlike(r"^-?[1-9]\d*$"), t).otherwise(let(bare(t), signed)))
 
 
 def numbers_in(text: Column, decimal: str = ".") -> Column:
