@@ -262,9 +262,10 @@ def cut_segments(tells: int, shards: int, hot: np.ndarray):
             np.add.at(mark, first[hit], 1)
             np.add.at(mark, first[hit] + count[hit], -1)
             shared = np.cumsum(mark[:-1]) > 0
-            warm = np.zeros(len(m), bool)
-            if len(hot):
-                busy = hit & np.isin(anchor, hot)
+            warm = None
+            busy = hit.copy()
+            busy[hit] = np.isin(anchor[hit], hot)
+            if busy.any():
                 mark = np.zeros(len(m) + 1, np.int32)
                 np.add.at(mark, first[busy], 1)
                 np.add.at(mark, first[busy] + count[busy], -1)
@@ -273,23 +274,20 @@ def cut_segments(tells: int, shards: int, hot: np.ndarray):
             first, count = runs(m, shared, ends)
             own = np.searchsorted(ends, first, "right")
             shard = (m[first] % np.uint64(shards)).astype(np.int64)
-            for f, w, o, s in zip(first.tolist(), count.tolist(), own.tolist(), shard.tolist(), strict=True):
-                flags = warm[f : f + w]
-                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]) + (parts[i + o] << PART), w, s, flags if flags.any() else None
+            upto = np.zeros(1, np.int64) if warm is None else np.r_[0, np.cumsum(warm)]
+            some = [False] * len(first) if warm is None else (upto[first + count] > upto[first]).tolist()
+            for f, w, o, s, flagged in zip(first.tolist(), count.tolist(), own.tolist(), shard.tolist(), some, strict=True):
+                yield body[f : f + w + LENGTH - 1], ids[i + o], f - int(starts[o]) + (parts[i + o] << PART), w, s, warm[f : f + w] if flagged else None
 
     def spread(x: tuple) -> Iterator[tuple]:
-        """A segment as its hot windows, one by one, and the runs of windows between them."""
+        """A segment as its hot windows, one by one and without a shard, and the runs of windows between them."""
         body, i, first, windows, shard, flags = x
-        if flags is None:
-            yield x[:5]
-            return
         at = 0
         for k in [*np.flatnonzero(flags).tolist(), windows]:
             if k > at:
                 yield body[at : k + LENGTH - 1], i, first + at, k - at, shard
             if k < windows:
-                one = body[k : k + LENGTH]
-                yield one, i, first + k, 1, xxhash.xxh3_64_intdigest(one) % shards
+                yield body[k : k + LENGTH], i, first + k, 1, None
             at = k + 1
 
     def flush(ids: list[int], texts: list[bytes], keys: list[np.ndarray], parts: list[int]) -> Iterator[pa.RecordBatch]:
@@ -299,15 +297,24 @@ def cut_segments(tells: int, shards: int, hot: np.ndarray):
             if i < least.get(body, i + 1):
                 least[body] = i
         covered = [(i, first, windows) for body, i, first, windows, _, _ in held if i > least[body]]
+        by: dict[int, list[tuple]] = {}
+        single: dict[bytes, list[tuple]] = {}
+        for x in held:
+            if x[1] == least[x[0]]:
+                for piece in (x,) if x[5] is None else spread(x):
+                    if piece[4] is None:
+                        single.setdefault(piece[0], []).append(piece)
+                    else:
+                        by.setdefault(piece[4], []).append(piece)
+        # Hot windows are settled within the task once more, one by one.
+        for one, found in single.items():
+            smallest = min(x[1] for x in found)
+            covered += [(i, first, 1) for _, i, first, _, _ in found if i > smallest]
+            by.setdefault(xxhash.xxh3_64_intdigest(one) % shards, []).extend(x for x in found if x[1] == smallest)
         rows = []
         if covered:
             c = np.array(covered, np.int64)
             rows.append((-1, c[:, 0].tobytes(), c[:, 1].tobytes(), c[:, 2].astype("<u4").tobytes(), b""))
-        by: dict[int, list[tuple]] = {}
-        for x in held:
-            if x[1] == least[x[0]]:
-                for piece in spread(x):
-                    by.setdefault(piece[4], []).append(piece)
         for shard, found in sorted(by.items()):
             rows.append((shard, np.array([x[1] for x in found], np.int64).tobytes(), np.array([x[2] for x in found], np.int64).tobytes(), np.array([x[3] for x in found], "<u4").tobytes(), b"".join(x[0] for x in found)))
         yield from packed(rows)
